@@ -23,8 +23,15 @@ _LONG_FIELDS = ("response_time_ms", "bytes_sent", "bytes_received")
 
 
 def _parsed(messages: DataFrame, value: str) -> DataFrame:
+    """``messages`` with the parsed payload.
+
+    The parsed record goes through ``explode`` so that it is a column of its own to the
+    optimizer. As a plain projection it would be copied into every condition on it, and
+    each payload would be parsed several times.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return messages.withColumn("_json", F.from_json(F.col(value).cast("string"), _AS_TEXT, options))
+    record = F.from_json(F.col(value).cast("string"), _AS_TEXT, options)
+    return messages.select("*", F.explode(F.array(record)).alias("_json"))
 
 
 def _field(name: str) -> Column:

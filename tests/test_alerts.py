@@ -1,0 +1,61 @@
+import pytest
+from pyspark.sql import functions as F
+
+from routelens.functions.severity import exceedance_multiple, severity
+from routelens.operators.alerts import alert_exceedance, latency_alerts, sql_latency_alerts
+from tests.conftest import NOON, collect, log
+
+COLUMNS = (
+    "http_route STRING, window_start TIMESTAMP, window_end TIMESTAMP, request_count BIGINT, "
+    "avg_latency_ms DOUBLE, p95_latency_ms DOUBLE, p99_latency_ms DOUBLE, error_rate_pct DOUBLE"
+)
+
+
+@pytest.fixture
+def metrics_of(spark):
+    def build(*p99s, requests=10):
+        rows = [(f"r{i}", NOON, NOON, requests, 100.0, 200.0, p, 5.0) for i, p in enumerate(p99s)]
+        return spark.createDataFrame(rows, COLUMNS)
+
+    return build
+
+
+def test_severities(metrics_of):
+    found = collect(latency_alerts(metrics_of(600.0, 750.0, 800.0, 999.9, 1000.0, 1499.9, 1500.0, 2000.0)), "http_route")
+    assert [r["severity"] for r in found] == [
+        "LOW", "MEDIUM", "MEDIUM", "MEDIUM", "HIGH", "HIGH", "CRITICAL", "CRITICAL",
+    ]
+
+
+def test_no_alert(metrics_of):
+    assert latency_alerts(metrics_of(400.0, 500.0, None)).count() == 0
+    assert latency_alerts(metrics_of(1000.0, requests=0)).count() == 0
+
+
+def test_alert_fields(metrics_of):
+    (row,) = collect(latency_alerts(metrics_of(750.0), 500))
+    assert row == {
+        "http_route": "r0", "window_start": NOON, "window_end": NOON, "p99_latency_ms": 750.0,
+        "p95_latency_ms": 200.0, "avg_latency_ms": 100.0, "threshold_ms": 500, "request_count": 10,
+        "error_rate_pct": 5.0, "severity": "MEDIUM",
+    }
+
+
+def test_exceedance(metrics_of):
+    (row,) = collect(alert_exceedance(latency_alerts(metrics_of(1000.0))))
+    assert row["exceedance_multiple"] == 2.0
+
+
+def test_zero_threshold(spark, metrics_of):
+    (row,) = collect(latency_alerts(metrics_of(1.0), 0))
+    assert row["severity"] == "CRITICAL"
+    (found,) = collect(spark.range(1).select(exceedance_multiple(F.lit(5.0), F.lit(0)).alias("x"),
+                                             severity(F.lit(5.0), F.lit(0)).alias("s")))
+    assert found == {"x": 0.0, "s": "CRITICAL"}
+
+
+def test_sql_view(logs_of):
+    frame = logs_of(log(0, latency=500), log(60, latency=501), log(60, latency=499))
+    (row,) = collect(sql_latency_alerts(frame.where("event_time >= '2026-01-21 12:00:00'")))
+    assert row["sample_count"] == 2 and row["alerted_at"] == row["window_end"]
+    assert row["p99_latency_ms"] == pytest.approx(500.98)
