@@ -91,6 +91,18 @@ def write_error_events(
     return append_stream(events, database, ERROR_EVENTS_TABLE, table_format, checkpoint, trigger)
 
 
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows behind the watermark so far, as far back as progress is kept.
+
+    Rows are counted after a task has folded its part of them.
+    """
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) -> list[StreamingQuery]:
     """Create what is missing and start the three queries on a stream of access logs."""
     root = checkpoint_root(spark, options.checkpoint_dir)

@@ -13,6 +13,8 @@ from routelens.streaming.tables import ResultTable
 # Formats whose tables take row-level changes.
 MERGE_FORMATS = ("iceberg", "delta")
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 Trigger = dict
 
 
@@ -32,6 +34,21 @@ def append_stream(
     )
 
 
+def replace_partitions(frame: DataFrame, table: str) -> None:
+    """Overwrite the partitions ``frame`` has rows for and leave the others alone.
+
+    ``insertInto`` takes the overwrite mode from the session and ignores a writer option.
+    Inside ``foreachBatch`` the session belongs to the query alone.
+    """
+    conf = frame.sparkSession.conf
+    before = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        frame.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(OVERWRITE_MODE, before)
+
+
 def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id: int) -> None:
     """Write one micro-batch as its own partitions; a repeat replaces them.
 
@@ -39,12 +56,7 @@ def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id:
     not leave one file per shuffle partition.
     """
     rows = table.rows(frame).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    (
-        rows.hint("rebalance", table.date_column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(f"`{database}`.`{table.name}`")
-    )
+    replace_partitions(rows.hint("rebalance", table.date_column), f"`{database}`.`{table.name}`")
 
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> str:
@@ -107,13 +119,8 @@ def upsert_batch(
         kept = kept.join(new.alias("s"), F.expr(same_key("t", "s", keys)), "left_anti")
         kept.unionByName(new).write.mode("overwrite").parquet(staging)
         merged = spark.read.parquet(staging).select(*existing.columns)
-    (
-        merged.select(*spark.table(table).columns)
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    merged = merged.select(*spark.table(table).columns)
+    replace_partitions(merged.hint("rebalance", partition), table)
     _drop_staging(spark, staging)
 
 

@@ -1,0 +1,99 @@
+"""Registered queries against their SQL counterparts, and the shape of their plans."""
+
+import re
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry
+from tools.check_oracles import canonical, differences
+
+duckdb = pytest.importorskip("duckdb")
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
+
+QUERIES = entry.queries()
+STREAMS = [q for q in QUERIES if q.startswith("stream_")]
+BATCH = [q for q in QUERIES if q not in STREAMS]
+# Reads back a table it has written, so its plan is a scan.
+PLANNED = [q for q in BATCH if q != "upsert_route_metrics"]
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    return con
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", [*BATCH, "stream_route_metrics_5m", "stream_hostname_traffic"])
+def test_same_as_sql(spark, oracle, name):
+    found = canonical(QUERIES[name](spark, SF_DIR).toPandas())
+    assert differences(found, canonical(oracle.sql(entry.oracle_sql()[name]).df())) is None
+
+
+def test_flagship(spark):
+    assert entry.entry(spark).count() == 305
+
+
+def physical(spark, name):
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_plan_stays_in_the_jvm_and_has_no_pair_join(spark, name):
+    plan = physical(spark, name)
+    for node in ("Python", "BroadcastNestedLoopJoin", "CartesianProduct", "SortAggregate", "CollectLimit"):
+        assert node not in plan
+
+
+def exchanges(plan):
+    return len(re.findall(r"Exchange (?:hash|range|single)", plan, re.IGNORECASE))
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        ("error_events", 0),
+        ("mv_error_events", 0),
+        ("ingest_clean", 0),
+        ("latest_errors", 0),
+        ("mv_route_summary", 1),
+        ("mv_route_metrics_1m", 1),
+        ("status_category", 1),
+        ("route_metrics_1m", 2),
+        ("route_metrics_5m", 2),
+        ("latency_alerts", 2),
+        ("mv_hostname_traffic", 2),
+        ("mv_client_activity", 2),
+    ],
+)
+def test_number_of_shuffles(spark, name, shuffles):
+    assert exchanges(physical(spark, name)) == shuffles
+
+
+def test_counts_are_folded_before_each_shuffle(spark):
+    for name in ("route_metrics_1m", "mv_route_summary", "session_metrics"):
+        for part in physical(spark, name).split("Exchange hashpartitioning")[1:]:
+            below = part.split("\n", 2)[1]
+            assert "Aggregate" in below or "Project" in below or "Sort" in below or "Filter" in below
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("route_metrics_1m", {"event_id", "ts", "event_type", "value", "props"}),
+        ("mv_latency_alerts", {"event_id", "ts", "event_type", "value"}),
+        ("mv_hostname_traffic", {"event_id", "ts", "user_id", "event_type", "value"}),
+        ("mv_client_activity", {"event_id", "ts", "user_id", "event_type", "props"}),
+    ],
+)
+def test_scan_reads_only_what_is_needed(spark, name, columns):
+    (schema,) = set(re.findall(r"ReadSchema: struct<(.*?)>", physical(spark, name)))
+    found = {c.split(":")[0] for c in schema.split(",")}
+    assert found <= columns
