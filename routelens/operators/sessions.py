@@ -53,9 +53,10 @@ def _stream_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
 def _batch_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
     gap_micros = gap // timedelta(microseconds=1)
     micros = F.unix_micros("event_time")
-    sliced = logs.where(F.col("event_time").isNotNull()).withColumn(
-        "slice", F.floor(micros / F.lit(gap_micros))
-    )
+    width = F.lit(gap_micros)
+    # Integer arithmetic that rounds down before 1970 too.
+    slice_no = F.call_function("div", micros - F.pmod(micros, width), width)
+    sliced = logs.where(F.col("event_time").isNotNull()).withColumn("slice", slice_no)
 
     slices = sliced.groupBy("client_ip", "slice").agg(
         F.min(micros).alias("first_micros"), F.max(micros).alias("last_micros")
@@ -65,7 +66,7 @@ def _batch_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
     opens = F.when(F.coalesce(silence > gap_micros, F.lit(True)), 1).otherwise(0)
     sessions = (
         slices.withColumn("opens", opens)
-        .withColumn("session_no", F.sum("opens").over(in_order))
+        .withColumn("session_no", F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
         .select(F.col("client_ip").alias("s_client_ip"), F.col("slice").alias("s_slice"), "session_no")
     )
 

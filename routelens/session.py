@@ -18,8 +18,6 @@ SESSION_CONFS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Fold each task's part of a client's session before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    # With several inputs, the slowest one holds the watermark.
-    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 

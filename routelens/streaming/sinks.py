@@ -64,7 +64,7 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> str:
     return " AND ".join(f"{left}.`{k}` <=> {right}.`{k}`" for k in keys)
 
 
-def _merge_into(spark: SparkSession, rows: DataFrame, table: str, keys: Sequence[str]) -> None:
+def _merge_into(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
     rows.createOrReplaceTempView("upsert_rows")
     rows.sparkSession.sql(
         f"MERGE INTO {table} t USING upsert_rows s ON {same_key('t', 's', keys)} "
@@ -103,27 +103,38 @@ def upsert_batch(
 
     ``rows`` must hold each key once, and a key must never change its partition.
     """
-    spark = rows.sparkSession
     if table_format in MERGE_FORMATS:
-        _merge_into(spark, rows, table, keys)
+        _merge_into(rows, table, keys)
         return
+    spark = rows.sparkSession
     merged = _staged(spark, staging)
     if merged is None:
-        existing = spark.table(table)
-        # Distinct partition values only: as many as the batch touches periods of time.
-        touched = [r[0] for r in rows.select(partition).distinct().collect()]
-        if not touched:
+        if not _stage(rows, table, keys, partition, staging):
             return
-        new = rows.select(*existing.columns)
-        kept = existing.where(F.col(partition).isin(touched)).alias("t")
-        kept = kept.join(new.alias("s"), F.expr(same_key("t", "s", keys)), "left_anti")
-        kept.unionByName(new).write.mode("overwrite").parquet(staging)
-        merged = spark.read.parquet(staging).select(*existing.columns)
+        merged = spark.read.parquet(staging)
     merged = merged.select(*spark.table(table).columns)
     replace_partitions(merged.hint("rebalance", partition), table)
     _drop_staging(spark, staging)
 
 
+def _stage(rows: DataFrame, table: str, keys: Sequence[str], partition: str, staging: str) -> bool:
+    """Write the new content of every partition ``rows`` touches; False if there is none."""
+    existing = rows.sparkSession.table(table)
+    # Used three times below; without this a stream would run its micro-batch three times.
+    new = rows.select(*existing.columns).persist()
+    try:
+        # One value per period of time in the batch, however many rows it has.
+        touched = [r[0] for r in new.select(partition).distinct().collect()]
+        if not touched:
+            return False
+        kept = existing.where(F.col(partition).isin(touched)).alias("t")
+        kept = kept.join(new.alias("s"), F.expr(same_key("t", "s", keys)), "left_anti")
+        kept.unionByName(new).write.mode("overwrite").parquet(staging)
+        return True
+    finally:
+        new.unpersist()
+
+
 def upsert_stream(
     frame: DataFrame,
     table: str,

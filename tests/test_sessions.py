@@ -74,3 +74,11 @@ def test_equals_brute_force(logs_of, gap_ms):
         for r in collect(session_metrics(logs_of(*rows), gap))
     }
     assert found == expected
+
+
+def test_before_1970(logs_of):
+    epoch = NOON.replace(year=1970, month=1, day=1, hour=0)
+    offsets = (-45, -19, -1, 0, 15, 50)
+    frame = logs_of(*[log(event_time=epoch + timedelta(seconds=s)) for s in offsets])
+    found = collect(session_metrics(frame, GAP), "session_start")
+    assert [r["request_count"] for r in found] == [1, 4, 1]
