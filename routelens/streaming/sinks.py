@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,29 +35,39 @@ def append_stream(
     )
 
 
-def replace_partitions(frame: DataFrame, table: str) -> None:
-    """Overwrite the partitions ``frame`` has rows for and leave the others alone.
+@contextmanager
+def batch_write_confs(spark: SparkSession) -> Iterator[None]:
+    """Settings for the batch jobs of a micro-batch, put back afterwards.
 
     ``insertInto`` takes the overwrite mode from the session and ignores a writer option.
-    Inside ``foreachBatch`` the session belongs to the query alone.
+    A stream's session runs without adaptive execution because its state may not be
+    repartitioned; writes behind the state may be, and ``rebalance`` needs it.
     """
-    conf = frame.sparkSession.conf
-    before = conf.get(OVERWRITE_MODE)
-    conf.set(OVERWRITE_MODE, "dynamic")
+    wanted = {OVERWRITE_MODE: "dynamic", "spark.sql.adaptive.enabled": "true"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
-        frame.write.mode("overwrite").insertInto(table)
+        yield
     finally:
-        conf.set(OVERWRITE_MODE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id: int) -> None:
-    """Write one micro-batch as its own partitions; a repeat replaces them.
+def replace_partitions(frame: DataFrame, table: str, by: str) -> None:
+    """Overwrite the partitions ``frame`` has rows for and leave the others alone.
 
-    ``rebalance`` lets adaptive execution size the output files, so a quiet minute does
-    not leave one file per shuffle partition.
+    Files are sized by ``rebalance``, so a quiet minute does not leave one file per
+    shuffle partition and a busy one is still split.
     """
+    with batch_write_confs(frame.sparkSession):
+        frame.hint("rebalance", by).write.mode("overwrite").insertInto(table)
+
+
+def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id: int) -> None:
+    """Write one micro-batch as its own partitions; a repeat replaces them."""
     rows = table.rows(frame).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    replace_partitions(rows.hint("rebalance", table.date_column), f"`{database}`.`{table.name}`")
+    replace_partitions(rows, f"`{database}`.`{table.name}`", table.date_column)
 
 
 def same_key(left: str, right: str, keys: Sequence[str]) -> str:
@@ -109,11 +120,12 @@ def upsert_batch(
     spark = rows.sparkSession
     merged = _staged(spark, staging)
     if merged is None:
-        if not _stage(rows, table, keys, partition, staging):
-            return
+        with batch_write_confs(spark):
+            if not _stage(rows, table, keys, partition, staging):
+                return
         merged = spark.read.parquet(staging)
     merged = merged.select(*spark.table(table).columns)
-    replace_partitions(merged.hint("rebalance", partition), table)
+    replace_partitions(merged, table, partition)
     _drop_staging(spark, staging)
 
 

@@ -182,6 +182,16 @@ def test_job_resumes_from_its_checkpoints(spark, database, job_of, feed):
     assert tables.read_table(spark, database, tables.ERROR_EVENTS_TABLE).count() == 2
 
 
+def test_one_file_per_small_batch(spark, database, job_of, feed):
+    feed.add(*[log(i, route=f"r{i}", latency=900) for i in range(40)])
+    feed.add(log(200))
+    finish(job.start_queries(spark, feed.stream(), job_of(database)))
+    for table in (tables.ROUTE_METRICS_1M, tables.LATENCY_ALERTS_TABLE):
+        frame = tables.read_table(spark, database, table)
+        assert frame.count() == 40
+        assert len(frame.inputFiles()) == 1
+
+
 def test_tables_are_created_once(spark, database):
     tables.ensure_tables(spark, database)
     tables.ensure_tables(spark, database)
