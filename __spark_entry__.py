@@ -137,7 +137,7 @@ def _stream_metrics_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(spark, folder)
     tables.ensure_tables(spark, database)
     logs = job.with_event_time_limit(_stream(spark, sf_dir), WATERMARK)
-    _ran(job.write_rolling_metrics(logs, database, "parquet", f"{folder}/checkpoint", ONCE))
+    _ran(job.write_rolling_metrics(logs, database, f"{folder}/checkpoint", ONCE))
     return tables.read_table(spark, database, tables.ROUTE_METRICS_5M).drop("processing_time")
 
 

@@ -12,7 +12,7 @@ together: after a failure one may be a batch ahead of another until the query ca
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,27 +66,36 @@ def write_minute_metrics_and_alerts(
         finally:
             batch.unpersist()
 
-    return (
-        route_metrics_1m(logs)
-        .writeStream.queryName(ROUTE_METRICS_1M.name)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(write)
-        .start()
-    )
+    return _write_batches(route_metrics_1m(logs), ROUTE_METRICS_1M.name, write, checkpoint, trigger)
 
 
 def write_rolling_metrics(
-    logs: DataFrame, database: str, table_format: str, checkpoint: str, trigger: Trigger
+    logs: DataFrame, database: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """Rolling metrics to their table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(_stamped(batch, "processing_time"), database, ROUTE_METRICS_5M, batch_id)
+
+    return _write_batches(route_metrics_5m(logs), ROUTE_METRICS_5M.name, write, checkpoint, trigger)
+
+
+def _write_batches(
+    frame: DataFrame,
+    name: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: Trigger,
 ) -> StreamingQuery:
-    metrics = _stamped(route_metrics_5m(logs), "processing_time")
-    return append_stream(metrics, database, ROUTE_METRICS_5M, table_format, checkpoint, trigger)
+    writer = frame.writeStream.queryName(name).outputMode("append")
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
+    return writer.foreachBatch(write).start()
 
 
 def write_error_events(
     logs: DataFrame, database: str, table_format: str, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
+    """Error events straight to their table; a shuffle to size files would cost more."""
     events = _stamped(error_events(logs), "processing_time")
     return append_stream(events, database, ERROR_EVENTS_TABLE, table_format, checkpoint, trigger)
 
@@ -117,7 +126,7 @@ def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) ->
         write_minute_metrics_and_alerts(
             timed, db, options.latency_threshold_ms, f"{root}/route_metrics_1m", trigger
         ),
-        write_rolling_metrics(timed, db, fmt, f"{root}/route_metrics_5m", trigger),
+        write_rolling_metrics(timed, db, f"{root}/route_metrics_5m", trigger),
         write_error_events(logs, db, fmt, f"{root}/error_events", trigger),
     ]
 

@@ -1,7 +1,7 @@
 """The four result tables.
 
-Besides the columns of their schema, the tables carry a date column to prune by. The two
-tables that are fed by one shared micro-batch also carry the batch number, which makes a
+Besides the columns of their schema, the tables carry a date column to prune by. The
+tables written micro-batch by micro-batch also carry the batch number, which makes a
 repeated batch replace itself.
 """
 
@@ -34,7 +34,7 @@ class ResultTable:
 
 
 ROUTE_METRICS_1M = ResultTable("route_metrics_1m", ROUTE_METRICS, "window_start", "window_date", True)
-ROUTE_METRICS_5M = ResultTable("route_metrics_5m", ROUTE_METRICS, "window_start", "window_date", False)
+ROUTE_METRICS_5M = ResultTable("route_metrics_5m", ROUTE_METRICS, "window_start", "window_date", True)
 ERROR_EVENTS_TABLE = ResultTable("error_events", ERROR_EVENTS, "event_time", "event_date", False)
 LATENCY_ALERTS_TABLE = ResultTable("latency_alerts", LATENCY_ALERTS, "window_start", "window_date", True)
 RESULT_TABLES = (ROUTE_METRICS_1M, ROUTE_METRICS_5M, ERROR_EVENTS_TABLE, LATENCY_ALERTS_TABLE)

@@ -190,6 +190,8 @@ def test_one_file_per_small_batch(spark, database, job_of, feed):
         frame = tables.read_table(spark, database, table)
         assert frame.count() == 40
         assert len(frame.inputFiles()) == 1
+    rolling = tables.read_table(spark, database, tables.ROUTE_METRICS_5M)
+    assert rolling.count() == 120 and len(rolling.inputFiles()) == 1
 
 
 def test_tables_are_created_once(spark, database):
