@@ -77,11 +77,30 @@ def test_number_of_shuffles(spark, name, shuffles):
     assert exchanges(physical(spark, name)) == shuffles
 
 
-def test_counts_are_folded_before_each_shuffle(spark):
-    for name in ("route_metrics_1m", "mv_route_summary", "session_metrics"):
-        for part in physical(spark, name).split("Exchange hashpartitioning")[1:]:
-            below = part.split("\n", 2)[1]
-            assert "Aggregate" in below or "Project" in below or "Sort" in below or "Filter" in below
+def shuffled(plan):
+    """Key columns and the operator below, for every hash exchange of a plan."""
+    lines = re.sub(r"#\d+L?", "", plan).splitlines()
+    found = []
+    for at, line in enumerate(lines):
+        match = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", line)
+        if match:
+            found.append((match.group(1), re.search(r"(\w+)", lines[at + 1].lstrip(" :+-*")).group(1)))
+    return found
+
+
+@pytest.mark.parametrize("name", ["route_metrics_1m", "route_metrics_5m", "mv_hostname_traffic", "mv_client_activity"])
+def test_rows_are_folded_before_each_shuffle(spark, name):
+    assert all(below.endswith("HashAggregate") for _, below in shuffled(physical(spark, name)))
+
+
+def test_hot_route_is_spread_by_latency(spark):
+    first = shuffled(physical(spark, "route_metrics_1m"))[-1]
+    assert first == ("http_route, window, response_time_ms", "HashAggregate")
+
+
+def test_only_folded_slices_are_ordered_per_client(spark):
+    by_client = [below for keys, below in shuffled(physical(spark, "session_metrics")) if keys == "client_ip"]
+    assert by_client == ["HashAggregate"]
 
 
 @pytest.mark.parametrize(

@@ -10,6 +10,7 @@ from routelens.operators.errors import error_events
 from routelens.operators.metrics import route_metrics_1m, route_metrics_5m
 from routelens.operators.sessions import session_metrics
 from routelens.options import JobOptions
+from routelens.plans.views import SQL_VIEWS, register_access_logs
 from routelens.schemas import ACCESS_LOG
 from routelens.streaming import job, sinks, tables
 from routelens.streaming.views import STREAM_VIEWS, read_view, start_view
@@ -295,9 +296,15 @@ def test_client_view_appears_when_the_client_becomes_active(feed, database, tmp_
     assert (row["request_count"], row["routes_accessed"]) == (11, 1)
 
 
-def test_every_sql_view_can_be_streamed():
-    from routelens.plans.views import SQL_VIEWS
+def test_stream_as_a_sql_table(spark, feed, drain):
+    feed.add(log(0, status=500), log(1))
+    register_access_logs(feed.stream(), "access_log_stream")
+    frame = spark.sql("SELECT timestamp, http_route FROM access_log_stream WHERE status_code >= 400")
+    assert frame.isStreaming
+    assert drain(frame) == [{"timestamp": NOON, "http_route": "productpage"}]
+
 
+def test_every_sql_view_can_be_streamed():
     assert set(STREAM_VIEWS) == set(SQL_VIEWS)
 
 
