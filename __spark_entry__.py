@@ -24,6 +24,12 @@ from routelens.sources import decode, fixture, replay
 from routelens.streaming import job, sinks, tables
 from routelens.streaming.views import read_view, start_view
 
+try:  # the operators for training data may be left out of an installation
+    import corpus_pipeline
+    from routelens.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SESSION_GAP = timedelta(seconds=20)
 ONCE = {"availableNow": True}
 WATERMARK = "5 seconds"
@@ -246,9 +252,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every implemented operator by name."""
-    return {name: _registered(query) for name, query in QUERIES.items()}
+    found = {name: _registered(query) for name, query in QUERIES.items()}
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return oracle_queries()
+    return oracle_queries() | (llm_queries.ORACLE_SQL if llm_queries is not None else {})
