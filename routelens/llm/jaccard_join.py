@@ -197,7 +197,7 @@ def _links(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), text.alias("text"), content_key(text).alias("__content"))
     same = (F.col("__content") == F.col("content")) & F.col("__id").eqNullSafe(F.col("rep"))
-    joined = rows.join(members, same)
+    joined = rows.join(members.hint("merge"), same)  # one plan at every size, rather than a broadcast of small tables
     names = ["content", "shingles", "candidate", "copies", "blocks", "block"]
     fields = "content binary, shingles binary, candidate binary, copies long, blocks int, block int"
     full = joined.select("content", word_hashes(text).alias("words"), *names[2:]).mapInArrow(sets, fields)
