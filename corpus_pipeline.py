@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stays = written(first.select("stays.*"), "stays")
     rows = docs.select(*COLUMNS).withColumn("__content", content_key(F.col("text")))
     same = rows["doc_id"].eqNullSafe(stays["doc_id"]) & (rows["__content"] == stays["content"])
-    kept = rows.join(stays.select(F.col("doc_id"), F.col("content")), same).select(*[rows[c] for c in COLUMNS], rows["__content"])
+    kept = rows.join(stays.hint("merge"), same).select(*[rows[c] for c in COLUMNS], rows["__content"])
     kept = kept.dropDuplicates(["doc_id", "__content"])
     return kept.unionByName(rows.where("__content IS NULL")).select(*COLUMNS)
 

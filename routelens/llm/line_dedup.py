@@ -129,7 +129,7 @@ class LineIndex:
         places = rows.select("__id", "__hash", F.posexplode(keys).alias("place", "key")).where("key IS NOT NULL")
         # Copies name the same places, so a place counts once for an id and a hash.
         gone = places.join(common, "key").groupBy("__id", "__hash").agg(F.collect_set("place").alias("__gone"))
-        joined = rows.join(gone, ["__id", "__hash"], "left")
+        joined = rows.join(gone.hint("merge"), ["__id", "__hash"], "left")
         lines = lines_of(F.col("text"))
         none = F.array().cast("array<int>")
         joined = joined.select("*", F.inline(F.array(F.struct(lines.alias("__lines"), F.coalesce("__gone", none).alias("__out")))))

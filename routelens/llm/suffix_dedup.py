@@ -191,7 +191,7 @@ def _suffixes(docs: DataFrame, wanted: DataFrame, gram: int, passage: int) -> Da
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), text.alias("text"), content_key(text).alias("__content"))
     same = (F.col("__content") == F.col("content")) & F.col("__id").eqNullSafe(F.col("rep"))
-    joined = rows.join(wanted, same).select("content", word_hashes(text).alias("words"), "wanted")
+    joined = rows.join(wanted.hint("merge"), same).select("content", word_hashes(text).alias("words"), "wanted")
     return joined.mapInArrow(cut, _SUFFIX)
 
 
