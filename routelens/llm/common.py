@@ -55,9 +55,9 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def bounded_sample(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
-    """At most ``limit`` rows, those with the smallest hash of ``keys``; each task keeps its own first."""
-    return rows.orderBy(F.xxhash64(*keys), *keys).limit(limit)
+def in_share(share, *keys: str) -> Column:
+    """True for about ``share`` of all rows, by a hash of ``keys``: a sample of known size without a sort or a row order."""
+    return F.pmod(F.xxhash64(*keys), F.lit(2**40)) < F.lit(float(2**40)) * share
 
 
 def connected(edges: DataFrame, name: str) -> DataFrame:

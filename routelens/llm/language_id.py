@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.common import bounded_sample, fold_of, whole_text
+from routelens.llm.common import fold_of, in_share, whole_text
 
 HIDDEN = 8
 #: Bytes that the network reads in one run; each run starts from a zero state, in both directions.
@@ -209,20 +209,19 @@ def _finished(names: tuple[str, ...], w: dict) -> LanguageModel:
 
 
 def train(docs: DataFrame, folds: int = 4, held_out: int = 2) -> LanguageModel:
-    """Fits on at most ``TRAINING_DOCUMENTS`` texts of each language outside the held-out fold.
+    """Fits on about ``TRAINING_DOCUMENTS`` texts of each language outside the held-out fold, or all if there are fewer.
 
-    The texts are those with the smallest hash among all up to ``TRAINING_CHARS`` long; only these reach the
-    driver. Of more than ``LANGUAGES`` languages those with most rows are learned.
+    A hash chooses them among all texts up to ``TRAINING_CHARS`` long; only these reach the driver. Of more than
+    ``LANGUAGES`` languages those with most rows are learned.
     """
     rows = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(fold_of(F.col("doc_id"), folds) != held_out).where(F.length("text").between(1, TRAINING_CHARS))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    texts, languages = [], []
-    for lang in sorted(row.lang for row in counts):
-        for row in bounded_sample(rows.where(F.col("lang") == lang), TRAINING_DOCUMENTS, "doc_id", "text").collect():
-            texts.append(row.text)
-            languages.append(lang)
-    return fit(texts, languages)
+    share = F.lit(0.0)
+    for row in counts:
+        share = F.when(F.col("lang") == row.lang, min(1.0, TRAINING_DOCUMENTS / row["count"])).otherwise(share)
+    chosen = sorted((row.lang, row.text) for row in rows.where(in_share(share, "doc_id", "text")).select("lang", "text").collect())
+    return fit([text for _, text in chosen], [lang for lang, _ in chosen])
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

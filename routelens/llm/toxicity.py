@@ -21,11 +21,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.common import bounded_sample, fold_of, per_worker, whole_text
+from routelens.llm.common import fold_of, in_share, per_worker, whole_text, written
 
 WINDOW, STRIDE = 48, 32
 #: Labelled documents that the model is fitted on, by class, and their longest text in characters.
-TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 8_000, 1: 2_000}, 20_000
+TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 6_000, 1: 2_000}, 20_000
 LEAST_RATIO = 24.0
 ORDINARY_BYTES, TOXIC_BYTES = 24_576, 6_144
 _STEM = 5
@@ -95,10 +95,14 @@ def _lengths(dictionary: bytes, data: bytes, spans: np.ndarray) -> np.ndarray:
 
 
 def window_gains(model: ToxicityModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, bytes gained)`` of every window of every text."""
-    data, spans, owner = windows(texts)
+    """``(text, bytes gained)`` of every window of every text, a hundred texts at a time."""
     both = model.toxic + model.ordinary
-    return owner, _lengths(model.ordinary, data, spans) - _lengths(both, data, spans)
+    owners, gains = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(0, len(texts), 100):
+        data, spans, owner = windows(texts[at : at + 100])
+        owners.append(owner + at)
+        gains.append(_lengths(model.ordinary, data, spans) - _lengths(both, data, spans))
+    return np.concatenate(owners), np.concatenate(gains)
 
 
 def _stems(text: str) -> set[str]:
@@ -200,19 +204,27 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityModel:
-    """Fits on at most ``TRAINING_DOCUMENTS`` labelled rows of a class outside the held-out fold.
+    """Fits on about ``TRAINING_DOCUMENTS`` labelled rows of each class outside the held-out fold, or all if there are fewer.
 
-    The rows are those with the smallest hash of their id among all labelled rows with texts up to
-    ``TRAINING_CHARS``. That bound is what reaches the driver.
+    A hash of the id chooses them among all labelled rows; those with texts over ``TRAINING_CHARS`` are left out. That
+    is what reaches the driver. The order in which rows arrive changes nothing.
     """
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
     known = known.where(fold_of(F.col("doc_id"), folds) != held_out)
-    rows = docs.select("doc_id", "text").where(F.length("text").between(1, TRAINING_CHARS)).join(known, "doc_id")
-    found: dict[int, list[str]] = {}
+    counts = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    share = F.lit(0.0)
     for toxic, limit in TRAINING_DOCUMENTS.items():
-        rows_of = bounded_sample(rows.where(F.col("toxic") == toxic), limit, "doc_id", "text")
-        found[toxic] = [row.text for row in rows_of.select("text").collect()]
-    return fit(found[0], found[1])
+        share = F.when(F.col("toxic") == toxic, min(1.0, limit / max(counts.get(toxic, 0), 1))).otherwise(share)
+    chosen = written(known.where(in_share(share, "doc_id")), "labelled")
+    rows = docs.select("doc_id", "text").where(F.length("text").between(1, TRAINING_CHARS)).join(chosen, "doc_id")
+    found: dict[int, list[str]] = {0: [], 1: []}
+    for row in rows.select("toxic", "text").collect():
+        found[row.toxic].append(row.text)
+    return fit(sorted(found[0], key=_by_content), sorted(found[1], key=_by_content))
+
+
+def _by_content(text: str) -> tuple[int, str]:
+    return zlib.crc32(text.encode("utf-8", "replace")), text
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
