@@ -45,7 +45,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = quality.text_measures(docs)
-    rules = quality.ordered(quality.RULES, quality.estimate(measured))
+    rules = quality.ordered(quality.RULES, quality.estimate(docs))
     base = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     judged = quality.cascade(measured, rules).withColumn("base_failed", base)
     return judged.select(
@@ -112,6 +112,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM (SELECT *, k IN (SELECT k FROM common) AS gone FROM lines) GROUP BY r, doc_id
 """
 
-NEAREST_SQL = None
-
 ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL}
