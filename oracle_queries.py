@@ -5,7 +5,7 @@ from __future__ import annotations
 LOGS = """
 events_k AS (
     SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-        CASE event_type WHEN 'click' THEN 'productpage' WHEN 'view' THEN 'reviews'
+        CASE event_type WHEN 'click' THEN 'catalog' WHEN 'view' THEN 'reviews'
             WHEN 'purchase' THEN 'checkout' WHEN 'signup' THEN 'details'
             WHEN 'error' THEN 'cart' END AS base_route
     FROM events

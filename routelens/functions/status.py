@@ -44,3 +44,8 @@ def error_type(status: Column) -> Column:
 def rate_pct(part: Column, whole: Column) -> Column:
     """``part / whole * 100``, and 0.0 when ``whole`` is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(part / whole * 100)
+
+
+def wide_sum(column: str) -> Column:
+    """A sum that partial sums cannot overflow; cast the last one to the type of the result."""
+    return F.sum(F.col(column).cast("decimal(38,0)"))

@@ -29,6 +29,7 @@ from routelens.functions.status import (
     is_success,
     rate_pct,
     status_category,
+    wide_sum,
 )
 
 LATENCY = "response_time_ms"
@@ -75,7 +76,7 @@ def _fold(cells: DataFrame, key: str) -> DataFrame:
     counters = ("requests", "successes", "client_errors", "server_errors")
     return cells.groupBy(key, "window", LATENCY).agg(
         *[F.sum(c).alias(c) for c in counters],
-        *[F.try_sum(c).alias(c) for c in ("bytes_sent", "bytes_received")],
+        *[wide_sum(c).alias(c) for c in ("bytes_sent", "bytes_received")],
     )
 
 
@@ -101,8 +102,8 @@ def summarise_cells(
             F.sum("successes").alias("success_count"),
             F.sum("client_errors").alias("client_error_count"),
             F.sum("server_errors").alias("server_error_count"),
-            F.try_sum("bytes_sent").alias("total_bytes_sent"),
-            F.try_sum("bytes_received").alias("total_bytes_received"),
+            wide_sum("bytes_sent").try_cast("bigint").alias("total_bytes_sent"),
+            wide_sum("bytes_received").try_cast("bigint").alias("total_bytes_received"),
             F.min(LATENCY).alias("min_latency_ms"),
             F.max(LATENCY).alias("max_latency_ms"),
             (F.sum(F.col(LATENCY).cast("double") * F.col("requests")) / timed).alias("avg_latency_ms"),
@@ -181,8 +182,8 @@ def _plain_counts(logs: DataFrame, key: str, span: Sequence[str]) -> DataFrame:
             F.avg(LATENCY).alias("avg_latency_ms"),
             F.min(LATENCY).alias("min_latency_ms"),
             F.max(LATENCY).alias("max_latency_ms"),
-            F.try_sum("bytes_sent").alias("total_bytes_sent"),
-            F.try_sum("bytes_received").alias("total_bytes_received"),
+            wide_sum("bytes_sent").try_cast("bigint").alias("total_bytes_sent"),
+            wide_sum("bytes_received").try_cast("bigint").alias("total_bytes_received"),
             F.count_if(is_error(status)).alias("error_count"),
         )
         .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})

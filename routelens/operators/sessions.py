@@ -18,7 +18,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from routelens.functions.status import is_error, rate_pct
+from routelens.functions.status import is_error, rate_pct, wide_sum
 
 
 def session_metrics(logs: DataFrame, gap: timedelta) -> DataFrame:
@@ -45,7 +45,7 @@ def _stream_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
         _distinct_seen(True, "path").alias("unique_paths"),
         _distinct_seen(True, "http_route").alias("unique_routes"),
         F.sum(F.col("response_time_ms").cast("double")).alias("total_response_time_ms"),
-        F.try_sum("bytes_sent").alias("total_bytes_sent"),
+        wide_sum("bytes_sent").try_cast("bigint").alias("total_bytes_sent"),
         F.count_if(is_error(F.col("status_code"))).alias("error_count"),
     )
 
@@ -75,7 +75,7 @@ def _batch_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
         F.sum(F.col("response_time_ms").cast("double")).alias("response_time"),
-        F.try_sum("bytes_sent").alias("bytes"),
+        wide_sum("bytes_sent").alias("bytes"),
         F.count_if(is_error(F.col("status_code"))).alias("errors"),
     )
     same_slice = F.col("client_ip").eqNullSafe(F.col("s_client_ip")) & (F.col("slice") == F.col("s_slice"))
@@ -89,7 +89,7 @@ def _batch_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
             _distinct_seen(False, "path").alias("unique_paths"),
             _distinct_seen(False, "http_route").alias("unique_routes"),
             F.sum("response_time").alias("total_response_time_ms"),
-            F.try_sum("bytes").alias("total_bytes_sent"),
+            wide_sum("bytes").try_cast("bigint").alias("total_bytes_sent"),
             F.sum("errors").alias("error_count"),
         )
     )

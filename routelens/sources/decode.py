@@ -18,6 +18,16 @@ INT_RANGE = (-(2**31), 2**31 - 1)
 
 _CORRUPT = "_corrupt_record"
 _AS_TEXT = T.StructType([T.StructField(name, T.StringType()) for name in (*MESSAGE_FIELDS, _CORRUPT)])
+# What the parser would accept beyond the JSON standard.
+_LENIENCIES = (
+    "allowComments",
+    "allowUnquotedFieldNames",
+    "allowSingleQuotes",
+    "allowNumericLeadingZeros",
+    "allowNonNumericNumbers",
+    "allowBackslashEscapingAnyCharacter",
+    "allowUnquotedControlChars",
+)
 _TEXT_FIELDS = ("hostname", "method", "path", "upstream_cluster", "client_ip")
 _LONG_FIELDS = ("response_time_ms", "bytes_sent", "bytes_received")
 
@@ -29,7 +39,7 @@ def _parsed(messages: DataFrame, value: str) -> DataFrame:
     optimizer. As a plain projection it would be copied into every condition on it, and
     each payload would be parsed several times.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT} | dict.fromkeys(_LENIENCIES, "false")
     record = F.from_json(F.col(value).cast("string"), _AS_TEXT, options)
     return messages.select("*", F.explode(F.array(record)).alias("_json"))
 

@@ -18,7 +18,7 @@ EVENTS = struct(
 
 # Routes, hosts, methods and status codes of the sample traffic.
 ROUTE_BY_EVENT = {
-    "click": "productpage",
+    "click": "catalog",
     "view": "reviews",
     "purchase": "checkout",
     "signup": "details",

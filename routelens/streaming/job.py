@@ -24,7 +24,7 @@ from routelens.operators.metrics import route_metrics_1m, route_metrics_5m
 from routelens.options import JobOptions
 from routelens.session import build_session
 from routelens.sources.reader import read_access_logs_stream
-from routelens.streaming.sinks import Trigger, append_batch, append_stream
+from routelens.streaming.sinks import Trigger, append_batch, append_stream, query_of
 from routelens.streaming.tables import (
     ERROR_EVENTS_TABLE,
     LATENCY_ALERTS_TABLE,
@@ -60,9 +60,10 @@ def write_minute_metrics_and_alerts(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            append_batch(_stamped(batch, "processing_time"), database, ROUTE_METRICS_1M, batch_id)
+            query_id = query_of(batch.sparkSession, checkpoint)
+            append_batch(_stamped(batch, "processing_time"), database, ROUTE_METRICS_1M, batch_id, query_id)
             alerts = latency_alerts(batch, threshold_ms)
-            append_batch(_stamped(alerts, "alert_time"), database, LATENCY_ALERTS_TABLE, batch_id)
+            append_batch(_stamped(alerts, "alert_time"), database, LATENCY_ALERTS_TABLE, batch_id, query_id)
         finally:
             batch.unpersist()
 
@@ -75,7 +76,8 @@ def write_rolling_metrics(
     """Rolling metrics to their table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(_stamped(batch, "processing_time"), database, ROUTE_METRICS_5M, batch_id)
+        query_id = query_of(batch.sparkSession, checkpoint)
+        append_batch(_stamped(batch, "processing_time"), database, ROUTE_METRICS_5M, batch_id, query_id)
 
     return _write_batches(route_metrics_5m(logs), ROUTE_METRICS_5M.name, write, checkpoint, trigger)
 

@@ -64,9 +64,17 @@ def replace_partitions(frame: DataFrame, table: str, by: str) -> None:
         frame.hint("rebalance", by).write.mode("overwrite").insertInto(table)
 
 
-def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id: int) -> None:
-    """Write one micro-batch as its own partitions; a repeat replaces them."""
-    rows = table.rows(frame).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+def query_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps for as long as its checkpoint, from the checkpoint's own metadata."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
+def append_batch(frame: DataFrame, database: str, table: ResultTable, batch_id: int, query_id: str) -> None:
+    """Write one micro-batch as its own partitions; a repeat replaces them.
+
+    Batch numbers start anew with every checkpoint, so the query's id is part of what is replaced.
+    """
+    rows = table.rows(frame).withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")})
     replace_partitions(rows, f"`{database}`.`{table.name}`", table.date_column)
 
 

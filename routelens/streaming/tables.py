@@ -1,13 +1,14 @@
 """The four result tables.
 
 Besides the columns of their schema, the tables carry a date column to prune by. The
-tables written micro-batch by micro-batch also carry the batch number, which makes a
-repeated batch replace itself.
+tables written micro-batch by micro-batch also carry the id of their query and the batch
+number, which make a repeated batch replace itself and nothing else.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ class ResultTable:
 
     @property
     def partition_columns(self) -> list[str]:
-        return [self.date_column, "batch_id"] if self.per_batch else [self.date_column]
+        return [self.date_column, "query_id", "batch_id"] if self.per_batch else [self.date_column]
 
     def rows(self, frame: DataFrame) -> DataFrame:
         """``frame`` in table order with the date column added."""
@@ -57,14 +58,24 @@ def ensure_tables(spark: SparkSession, database: str, table_format: str = "parqu
         columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields]
         columns.append(f"`{table.date_column}` date")
         if table.per_batch:
-            columns.append("`batch_id` bigint")
+            columns += ["`query_id` string", "`batch_id` bigint"]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{table.name}` ({', '.join(columns)}) "
             f"USING {table_format} PARTITIONED BY ({', '.join(table.partition_columns)})"
         )
 
 
-def read_table(spark: SparkSession, database: str, table: ResultTable) -> DataFrame:
-    """A result table as of now, with its own columns only."""
+def read_table(
+    spark: SparkSession, database: str, table: ResultTable, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """A result table as of now, with its own columns only.
+
+    ``since`` (inclusive) and ``until`` (exclusive) bound the time that the table is dated by. Partitions of other days are not read.
+    """
     spark.catalog.refreshTable(f"`{database}`.`{table.name}`")
-    return spark.table(f"`{database}`.`{table.name}`").select(*table.schema.fieldNames())
+    rows = spark.table(f"`{database}`.`{table.name}`")
+    if since is not None:
+        rows = rows.where((F.col(table.date_of) >= F.lit(since)) & (F.col(table.date_column) >= F.to_date(F.lit(since))))
+    if until is not None:
+        rows = rows.where((F.col(table.date_of) < F.lit(until)) & (F.col(table.date_column) <= F.to_date(F.lit(until))))
+    return rows.select(*table.schema.fieldNames())

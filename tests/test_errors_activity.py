@@ -20,14 +20,14 @@ def test_error_events(logs_of):
 def test_sql_error_events(logs_of):
     found = collect(sql_error_events(logs_of(log(status=404, route=None), log(1, status=503), log(2))), "timestamp")
     assert [(r["http_route"], r["error_type"]) for r in found] == [
-        (None, "client_error"), ("productpage", "server_error"),
+        (None, "client_error"), ("catalog", "server_error"),
     ]
 
 
 def test_route_summary(logs_of):
     frame = logs_of(log(0, latency=10), log(4000, status=404, latency=30), log(5, route=None, status=301))
     found = {r["http_route"]: r for r in collect(route_summary(frame))}
-    row = found["productpage"]
+    row = found["catalog"]
     assert (row["total_requests"], row["total_success"], row["total_errors"]) == (2, 1, 1)
     assert row["overall_avg_latency_ms"] == 20 and row["last_seen"] == NOON + timedelta(seconds=4000)
     assert (found[None]["total_success"], found[None]["total_errors"]) == (0, 0)

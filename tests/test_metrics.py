@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from routelens.operators import metrics
+from routelens.operators.sessions import session_metrics
 from tests.conftest import NOON, collect, log
 
 MINUTE = timedelta(minutes=1)
@@ -71,9 +72,9 @@ def test_windows_per_route_and_minute(logs_of):
     frame = logs_of(log(0), log(59.999), log(60), log(0, route="checkout"), log(None))
     found = collect(metrics.route_metrics_1m(frame), "http_route", "window_start")
     assert [(r["http_route"], r["window_start"] - NOON, r["request_count"]) for r in found] == [
+        ("catalog", timedelta(0), 2),
+        ("catalog", MINUTE, 1),
         ("checkout", timedelta(0), 1),
-        ("productpage", timedelta(0), 2),
-        ("productpage", MINUTE, 1),
     ]
     assert all(r["window_end"] - r["window_start"] == MINUTE for r in found)
 
@@ -89,7 +90,7 @@ def test_pipeline_fixture(logs_of):
     product = [log(i, status=200 if i < 8 else 500, latency=50 + 10 * i) for i in range(10)]
     checkout = [log(2 * i, route="checkout", latency=100 + 20 * i) for i in range(5)]
     found = {r["http_route"]: r for r in collect(metrics.route_metrics_1m(logs_of(*product, *checkout)))}
-    row = found["productpage"]
+    row = found["catalog"]
     assert (row["request_count"], row["success_count"], row["server_error_count"]) == (10, 8, 2)
     assert (row["error_rate_pct"], row["avg_latency_ms"], row["p50_latency_ms"]) == pytest.approx((20, 95, 95))
     assert (found["checkout"]["request_count"], found["checkout"]["avg_latency_ms"]) == (5, pytest.approx(140))
@@ -213,3 +214,10 @@ def test_cells_hold_one_row_per_distinct_latency(logs_of):
     cells = metrics.latency_cells(frame, "http_route", metrics.ONE_MINUTE)
     assert cells.count() == 7
     assert cells.agg(F.sum("requests")).first()[0] == 500
+
+
+def test_byte_totals_beyond_the_range_are_null(spark, logs_of):
+    top = 2**63 - 1
+    frame = logs_of(*[log(1, latency=5, bytes_sent=top), log(2, latency=5, bytes_sent=top), log(3, latency=9, bytes_sent=1)])
+    for built in (metrics.route_metrics_1m(frame), metrics.route_metrics_5m(frame), session_metrics(frame, timedelta(seconds=20))):
+        assert {r["total_bytes_sent"] for r in collect(built)} == {None}

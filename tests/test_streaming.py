@@ -65,9 +65,9 @@ def test_window_is_emitted_once_and_late_rows_are_dropped(feed, drain):
     feed.add(log(64))
     assert drain(route_metrics_1m(feed.stream("5 seconds"))) == []
     feed.add(log(3), log(65))
-    assert counts(drain(route_metrics_1m(feed.stream("5 seconds")))) == {("productpage", 0): 3}
+    assert counts(drain(route_metrics_1m(feed.stream("5 seconds")))) == {("catalog", 0): 3}
     feed.add(log(4), log(130))
-    assert counts(drain(route_metrics_1m(feed.stream("5 seconds")))) == {("productpage", 0): 3, ("productpage", 60): 2}
+    assert counts(drain(route_metrics_1m(feed.stream("5 seconds")))) == {("catalog", 0): 3, ("catalog", 60): 2}
     assert job.dropped_late_rows(drain.query) == 1
 
 
@@ -78,10 +78,10 @@ def test_row_late_for_its_minute_still_counts_in_open_rolling_windows(feed, drai
     feed.add(log(2))
     feed.add(log(1000))
     found = counts(drain(route_metrics_5m(feed.stream("5 seconds"))))
-    assert found["productpage", -240] == 1
-    assert found["productpage", -180] == 4
-    assert found["productpage", 0] == 4
-    assert found["productpage", 60] == 2
+    assert found["catalog", -240] == 1
+    assert found["catalog", -180] == 4
+    assert found["catalog", 0] == 4
+    assert found["catalog", 60] == 2
 
 
 def test_errors_keep_late_rows(feed, drain):
@@ -153,10 +153,10 @@ def test_job_from_json_lines(spark, database, job_of, tmp_path):
     finish(job.start_job(spark, job_of(database, source_path=str(folder))))
 
     metrics = {r["http_route"]: r for r in collect(tables.read_table(spark, database, tables.ROUTE_METRICS_1M))}
-    assert set(metrics) == {"productpage", "checkout"}
-    assert metrics["productpage"]["request_count"] == 10
-    assert metrics["productpage"]["error_rate_pct"] == 20
-    assert metrics["productpage"]["processing_time"] is not None
+    assert set(metrics) == {"catalog", "checkout"}
+    assert metrics["catalog"]["request_count"] == 10
+    assert metrics["catalog"]["error_rate_pct"] == 20
+    assert metrics["catalog"]["processing_time"] is not None
     rolling = collect(tables.read_table(spark, database, tables.ROUTE_METRICS_5M))
     assert len(rolling) == 10
     errors = collect(tables.read_table(spark, database, tables.ERROR_EVENTS_TABLE))
@@ -177,7 +177,7 @@ def test_job_resumes_from_its_checkpoints(spark, database, job_of, feed):
     finish(job.start_queries(spark, feed.stream(), job_of(database)))
     finish(job.start_queries(spark, feed.stream(), job_of(database)))
     assert counts(collect(tables.read_table(spark, database, tables.ROUTE_METRICS_1M))) == {
-        ("productpage", 0): 3, ("productpage", 60): 1,
+        ("catalog", 0): 3, ("catalog", 60): 1,
     }
     assert tables.read_table(spark, database, tables.LATENCY_ALERTS_TABLE).count() == 1
     assert tables.read_table(spark, database, tables.ERROR_EVENTS_TABLE).count() == 2
@@ -209,17 +209,35 @@ def test_repeated_batch_replaces_itself(spark, database, logs_of):
 
     def write(batch_id, *rows):
         frame = route_metrics_1m(logs_of(*rows)).withColumn("processing_time", F.current_timestamp())
-        sinks.append_batch(frame, database, tables.ROUTE_METRICS_1M, batch_id)
+        sinks.append_batch(frame, database, tables.ROUTE_METRICS_1M, batch_id, "q")
 
     write(1, log(0), log(90000))
     write(2, log(60))
     write(2, log(60))
     write(3)
     found = tables.read_table(spark, database, tables.ROUTE_METRICS_1M)
-    assert sorted(counts(collect(found))) == [("productpage", 0), ("productpage", 60), ("productpage", 90000)]
+    assert sorted(counts(collect(found))) == [("catalog", 0), ("catalog", 60), ("catalog", 90000)]
     assert found.count() == 3
 
 
+def test_a_new_checkpoint_keeps_earlier_results(spark, database, tmp_path):
+    for number, route in enumerate(("a", "b")):
+        folder = tmp_path / f"in{number}"
+        folder.mkdir()
+        rows = [log(60 * number, route=route, latency=900), log(1000, route=route)]
+        (folder / "part-0").write_text("\n".join(map(message, rows)) + "\n")
+        options = JobOptions(
+            database=database, available_now=True, checkpoint_dir=str(tmp_path / f"c{number}"), source_path=str(folder)
+        )
+        finish(job.start_job(spark, options))
+    for table in (tables.ROUTE_METRICS_1M, tables.ROUTE_METRICS_5M, tables.LATENCY_ALERTS_TABLE):
+        assert {r["http_route"] for r in collect(tables.read_table(spark, database, table))} == {"a", "b"}
+    late = tables.read_table(spark, database, tables.ROUTE_METRICS_1M, since=NOON + timedelta(days=1))
+    assert late.count() == 0
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+
+
 KEYS = ("http_route", "window_start")
 
 
@@ -276,7 +294,7 @@ def test_views_follow_late_rows(feed, database, tmp_path):
     feed.add(log(0), log(4000))
     feed.add(log(1, status=500))
     found = counts(run_view(feed, database, "route_metrics_1m", tmp_path))
-    assert found == {("productpage", 0): 2, ("productpage", 3960): 1}
+    assert found == {("catalog", 0): 2, ("catalog", 3960): 1}
 
 
 def test_summary_view_is_revised(feed, database, tmp_path):
@@ -284,8 +302,8 @@ def test_summary_view_is_revised(feed, database, tmp_path):
     run_view(feed, database, "route_summary", tmp_path)
     feed.add(log(10), log(5, route=None))
     found = {r["http_route"]: r for r in run_view(feed, database, "route_summary", tmp_path)}
-    assert {k: r["total_requests"] for k, r in found.items()} == {"productpage": 2, "a": 1, None: 1}
-    assert found["productpage"]["last_seen"] == NOON + timedelta(seconds=10)
+    assert {k: r["total_requests"] for k, r in found.items()} == {"catalog": 2, "a": 1, None: 1}
+    assert found["catalog"]["last_seen"] == NOON + timedelta(seconds=10)
 
 
 def test_client_view_appears_when_the_client_becomes_active(feed, database, tmp_path):
@@ -301,7 +319,7 @@ def test_stream_as_a_sql_table(spark, feed, drain):
     register_access_logs(feed.stream(), "access_log_stream")
     frame = spark.sql("SELECT timestamp, http_route FROM access_log_stream WHERE status_code >= 400")
     assert frame.isStreaming
-    assert drain(frame) == [{"timestamp": NOON, "http_route": "productpage"}]
+    assert drain(frame) == [{"timestamp": NOON, "http_route": "catalog"}]
 
 
 def test_every_sql_view_can_be_streamed():
@@ -316,7 +334,7 @@ def test_complete_mode_equals_batch(spark, feed, tmp_path):
     writer = frame.writeStream.outputMode("complete").option("checkpointLocation", str(tmp_path / "c"))
     query = writer.trigger(**ONCE).foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(seen)).start()
     query.awaitTermination()
-    assert counts(collect(spark.read.parquet(seen))) == {("productpage", 0): 2, ("productpage", 60): 1}
+    assert counts(collect(spark.read.parquet(seen))) == {("catalog", 0): 2, ("catalog", 60): 1}
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
