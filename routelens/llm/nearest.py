@@ -138,7 +138,7 @@ def nearest(
     ids = written(rows.select("key", "vec_id", first.alias("place")).where(F.col("place") <= k + 1), "ids")
     distinct = written(rows.groupBy("key").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks")), "distinct")
     n = distinct.count()
-    sample = np.array([r.vector for r in distinct.where(in_share(min(1.0, SAMPLE / max(n, 1)), "key")).select("vector").collect()], np.float64).reshape(-1, width)
+    sample = np.array([r.vector for r in distinct.where(in_share(min(1.0, SAMPLE / max(n, 1)), "key")).select("vector").collect()], np.float64).reshape(-1, max(width, 1))
     sample = sample[np.lexsort(sample.T)] if width else sample
     rng = np.random.default_rng(seed)
     forest = [fit_tree(sample, max(8, int(len(sample) * LEAF_SHARE)), rng) for _ in range(trees)]
