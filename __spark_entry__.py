@@ -15,10 +15,12 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from oracle_queries import oracle_queries
 from routelens.operators import activity, alerts, errors, metrics, sessions
 from routelens.plans import reports, views
+from routelens.schemas import SESSION_METRICS
 from routelens.session import SESSION_CONFS
 from routelens.sources import decode, fixture, replay
 from routelens.streaming import job, sinks, tables
@@ -54,8 +56,12 @@ def _comparable(frame: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names, or a local one in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    """A new folder in the shared place the cluster names; only a local session may leave that out."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -76,12 +82,26 @@ def _sql_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.access_logs(spark, sf_dir, default_route=False).drop("event_id")
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.access_logs_stream(spark, sf_dir).drop("event_id")
-
-
-def _sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.access_logs_stream(spark, sf_dir, default_route=False).drop("event_id")
+def _streamed(
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    start: Callable[[DataFrame], StreamingQuery],
+    default_route: bool = True,
+    in_time: bool = True,
+) -> None:
+    """The whole table through a stream, in two runs on one checkpoint.
+
+    The second run resumes with the state and the tables of the first. With ``in_time`` it
+    gets the later half of the time, so that no row is late; otherwise every other row, so
+    that it revises what the first has written.
+    """
+    events = fixture.read_events(spark, sf_dir)
+    first = fixture.first_half(events) if in_time else F.col("event_id") % 2 == 0
+    first = F.coalesce(first, F.lit(True))
+    for part in (first, ~first):
+        events.where(part).write.mode("append").parquet(f"{folder}/input/events.parquet")
+        start(fixture.access_logs_stream(spark, f"{folder}/input", default_route).drop("event_id")).awaitTermination()
 
 
 def _from_logs(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -116,16 +136,16 @@ def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).drop("period")
 
 
-def _ran(query) -> None:
-    query.awaitTermination()
-
-
 def _minute_tables(spark: SparkSession, sf_dir: str) -> str:
     folder = _scratch(spark)
     database = _database(spark, folder)
     tables.ensure_tables(spark, database)
-    logs = job.with_event_time_limit(_stream(spark, sf_dir), WATERMARK)
-    _ran(job.write_minute_metrics_and_alerts(logs, database, 500, f"{folder}/checkpoint", ONCE))
+
+    def start(logs: DataFrame) -> StreamingQuery:
+        logs = job.with_event_time_limit(logs, WATERMARK)
+        return job.write_minute_metrics_and_alerts(logs, database, 500, f"{folder}/checkpoint", ONCE)
+
+    _streamed(spark, sf_dir, folder, start)
     return database
 
 
@@ -143,8 +163,11 @@ def _stream_metrics_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
     database = _database(spark, folder)
     tables.ensure_tables(spark, database)
-    logs = job.with_event_time_limit(_stream(spark, sf_dir), WATERMARK)
-    _ran(job.write_rolling_metrics(logs, database, f"{folder}/checkpoint", ONCE))
+
+    def start(logs: DataFrame) -> StreamingQuery:
+        return job.write_rolling_metrics(job.with_event_time_limit(logs, WATERMARK), database, f"{folder}/checkpoint", ONCE)
+
+    _streamed(spark, sf_dir, folder, start)
     return tables.read_table(spark, database, tables.ROUTE_METRICS_5M).drop("processing_time")
 
 
@@ -152,27 +175,33 @@ def _stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
     database = _database(spark, folder)
     tables.ensure_tables(spark, database)
-    logs = _stream(spark, sf_dir)
-    _ran(job.write_error_events(logs, database, "parquet", f"{folder}/checkpoint", ONCE))
+    _streamed(
+        spark, sf_dir, folder, lambda logs: job.write_error_events(logs, database, "parquet", f"{folder}/checkpoint", ONCE)
+    )
     return tables.read_table(spark, database, tables.ERROR_EVENTS_TABLE).drop("processing_time")
 
 
 def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
-    logs = job.with_event_time_limit(_stream(spark, sf_dir), WATERMARK)
-    found = sessions.session_metrics(logs, SESSION_GAP)
-    writer = found.writeStream.outputMode("append").format("parquet")
-    writer = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**ONCE)
-    _ran(writer.start(f"{folder}/sessions"))
-    return spark.read.schema(found.schema).parquet(f"{folder}/sessions")
+
+    def start(logs: DataFrame) -> StreamingQuery:
+        found = sessions.session_metrics(job.with_event_time_limit(logs, WATERMARK), SESSION_GAP)
+        writer = found.writeStream.outputMode("append").format("parquet")
+        return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**ONCE).start(f"{folder}/sessions")
+
+    _streamed(spark, sf_dir, folder, start)
+    return spark.read.schema(SESSION_METRICS).parquet(f"{folder}/sessions")
 
 
 def _stream_view(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = _scratch(spark)
         database = _database(spark, folder)
-        logs = _sql_stream(spark, sf_dir)
-        _ran(start_view(logs, database, name, "parquet", f"{folder}/checkpoint", ONCE))
+
+        def start(logs: DataFrame) -> StreamingQuery:
+            return start_view(logs, database, name, "parquet", f"{folder}/checkpoint", ONCE)
+
+        _streamed(spark, sf_dir, folder, start, default_route=False, in_time=False)
         return read_view(spark, database, name)
 
     return run

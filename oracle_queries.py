@@ -17,7 +17,8 @@ raw_logs AS (
         ['app.example.com', 'api.example.com', 'shop.example.com'][user_id % 3 + 1] AS hostname,
         ['GET', 'POST', 'PUT', 'DELETE'][event_id % 4 + 1] AS method,
         '/api/v1/' || base_route || '/' || (k % 7) AS path,
-        CAST([200, 200, 200, 200, 200, 201, 204, 301, 400, 401, 403, 404, 500, 502, 503][k % 15 + 1] AS INTEGER)
+        CAST(CASE WHEN event_type = 'view' AND event_id % 40 <> 0 THEN 200
+            ELSE [200, 200, 200, 200, 200, 201, 204, 301, 400, 401, 403, 404, 500, 502, 503][k % 15 + 1] END AS INTEGER)
             AS status_code,
         CAST(floor(value * 4) AS BIGINT) AS response_time_ms,
         CAST(100 + event_id * 37 % 10000 AS BIGINT) AS bytes_sent,
@@ -36,22 +37,29 @@ def _pct(level: float) -> str:
     return f"percentile_cont({level}) WITHIN GROUP (ORDER BY response_time_ms)"
 
 
-METRIC_COLUMNS = f"""
+ERRORS = "count(*) FILTER (WHERE status_code >= 400)"
+COUNTS = """
     http_route, window_start, window_end,
     count(*) AS request_count,
     count(*) FILTER (WHERE status_code BETWEEN 200 AND 299) AS success_count,
     count(*) FILTER (WHERE status_code BETWEEN 400 AND 499) AS client_error_count,
     count(*) FILTER (WHERE status_code >= 500) AS server_error_count,
+    avg(response_time_ms) AS avg_latency_ms
+"""
+TOTALS = f"""
     CAST(sum(bytes_sent) AS BIGINT) AS total_bytes_sent,
     CAST(sum(bytes_received) AS BIGINT) AS total_bytes_received,
     min(response_time_ms) AS min_latency_ms,
     max(response_time_ms) AS max_latency_ms,
-    avg(response_time_ms) AS avg_latency_ms,
+    {ERRORS} / count(*) * 100 AS error_rate_pct
+"""
+PERCENTILES = f"""
     {_pct(0.5)} AS p50_latency_ms,
     {_pct(0.95)} AS p95_latency_ms,
-    {_pct(0.99)} AS p99_latency_ms,
-    count(*) FILTER (WHERE status_code >= 400) / count(*) * 100 AS error_rate_pct
+    {_pct(0.99)} AS p99_latency_ms
 """
+METRIC_COLUMNS = f"{COUNTS}, {TOTALS}, {PERCENTILES}"
+BY_WINDOW = "GROUP BY http_route, window_start, window_end"
 
 
 def _tumbling(source: str, minutes: int) -> str:
@@ -66,7 +74,7 @@ def _rolling(source: str) -> str:
 
 
 def _metrics(windows: str) -> str:
-    return f"SELECT {METRIC_COLUMNS} FROM {windows} GROUP BY http_route, window_start, window_end"
+    return f"SELECT {METRIC_COLUMNS} FROM {windows} {BY_WINDOW}"
 
 
 METRICS_1M = f"m1 AS ({_metrics(_tumbling('logs', 1))})"
@@ -89,37 +97,14 @@ SELECT event_time, http_route, hostname, method, path, status_code,
 FROM logs WHERE status_code >= 400
 """
 
-MV_METRICS_1M = f"""
-SELECT http_route, window_start, window_end, count(*) AS request_count,
-    count(*) FILTER (WHERE status_code >= 200 AND status_code < 300) AS success_count,
-    count(*) FILTER (WHERE status_code >= 400 AND status_code < 500) AS client_error_count,
-    count(*) FILTER (WHERE status_code >= 500) AS server_error_count,
-    avg(response_time_ms) AS avg_latency_ms,
-    min(response_time_ms) AS min_latency_ms, max(response_time_ms) AS max_latency_ms,
-    CAST(sum(bytes_sent) AS BIGINT) AS total_bytes_sent,
-    CAST(sum(bytes_received) AS BIGINT) AS total_bytes_received,
-    CAST(count(*) FILTER (WHERE status_code >= 400) AS DOUBLE) / nullif(count(*), 0) * 100 AS error_rate_pct
-FROM {_tumbling('raw_logs', 1)} GROUP BY http_route, window_start, window_end
-"""
+MV_METRICS_1M = f"SELECT {COUNTS}, {TOTALS} FROM {_tumbling('raw_logs', 1)} {BY_WINDOW}"
 
-MV_METRICS_1M_PCT = f"""
-SELECT http_route, window_start, window_end, count(*) AS request_count,
-    count(*) FILTER (WHERE status_code >= 200 AND status_code < 300) AS success_count,
-    count(*) FILTER (WHERE status_code >= 400 AND status_code < 500) AS client_error_count,
-    count(*) FILTER (WHERE status_code >= 500) AS server_error_count,
-    avg(response_time_ms) AS avg_latency_ms,
-    {_pct(0.5)} AS p50_latency_ms, {_pct(0.95)} AS p95_latency_ms, {_pct(0.99)} AS p99_latency_ms
-FROM {_tumbling('raw_logs', 1)} GROUP BY http_route, window_start, window_end
-"""
+MV_METRICS_1M_PCT = f"SELECT {COUNTS}, {PERCENTILES} FROM {_tumbling('raw_logs', 1)} {BY_WINDOW}"
 
 MV_METRICS_5M = f"""
-SELECT http_route, window_start, window_end, count(*) AS request_count,
-    avg(response_time_ms) AS avg_latency_ms,
-    {_pct(0.5)} AS p50_latency_ms, {_pct(0.9)} AS p90_latency_ms,
-    {_pct(0.95)} AS p95_latency_ms, {_pct(0.99)} AS p99_latency_ms,
-    CAST(count(*) FILTER (WHERE status_code >= 400) AS DOUBLE) / nullif(count(*), 0) * 100 AS error_rate_pct,
-    CAST(count(*) AS DOUBLE) / 300 AS requests_per_second
-FROM {_rolling('raw_logs')} GROUP BY http_route, window_start, window_end
+SELECT http_route, window_start, window_end, request_count, avg_latency_ms, p50_latency_ms, p90_latency_ms,
+    p95_latency_ms, p99_latency_ms, error_rate_pct, request_count / 300 AS requests_per_second
+FROM (SELECT {METRIC_COLUMNS}, {_pct(0.9)} AS p90_latency_ms FROM {_rolling('raw_logs')} {BY_WINDOW})
 """
 
 MV_ERROR_EVENTS = """
@@ -153,8 +138,7 @@ FROM {_tumbling('raw_logs', 5)} GROUP BY hostname, window_start, window_end
 
 MV_CLIENT_ACTIVITY = f"""
 SELECT client_ip, window_start, window_end, count(*) AS request_count,
-    count(DISTINCT http_route) AS routes_accessed,
-    count(*) FILTER (WHERE status_code >= 400) AS error_count
+    count(DISTINCT http_route) AS routes_accessed, {ERRORS} AS error_count
 FROM {_tumbling('raw_logs', 1)} GROUP BY client_ip, window_start, window_end HAVING count(*) > 10
 """
 
@@ -195,12 +179,23 @@ damaged AS (
         WHEN 5 THEN '{"unknown_field":"ignored",' || substr(value, 2)
         WHEN 6 THEN regexp_replace(value, '"status_code":([0-9]+)', '"status_code":"\\1"')
         WHEN 7 THEN regexp_replace(value, '"response_time_ms":[0-9]+,', '')
+        WHEN 8 THEN '{''http_route'':''q''}'
+        WHEN 9 THEN '{"http_route":["x"],"status_code":200}'
+        WHEN 10 THEN '{"http_route":"x","path":{"a":1}}'
+        WHEN 11 THEN '{"timestamp":"2024-01-01T00:00:00.000Z","http_route":"[x]","path":"{}"}'
         ELSE value END AS value
     FROM messages
 )
 """
 
 
+_TEXTS = "timestamp http_route hostname method path upstream_cluster client_ip".split()
+# An object with no object or array where text is expected.
+READABLE = f"""CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' AND {
+    ' AND '.join(f"coalesce(json_type(value, '$.{name}') NOT IN ('OBJECT', 'ARRAY'), true)" for name in _TEXTS)
+} ELSE false END"""
+
+
 def _decoded(source: str) -> str:
     def text(name: str) -> str:
         return f"json_extract_string(j, '$.{name}')"
@@ -215,8 +210,8 @@ def _decoded(source: str) -> str:
         {number('status_code', 'INTEGER')}, {number('response_time_ms')}, {number('bytes_sent')},
         {number('bytes_received')}, {text('upstream_cluster')} AS upstream_cluster,
         {text('client_ip')} AS client_ip
-    FROM (SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM {source})
-    WHERE json_type(j) = 'OBJECT'
+    FROM (SELECT *, CASE WHEN {READABLE} THEN CAST(value AS JSON) END AS j FROM {source})
+    WHERE j IS NOT NULL
     """
 
 
@@ -304,8 +299,7 @@ def oracle_queries() -> dict[str, str]:
         "ingest_clean": _with(MESSAGES, select=_decoded("damaged")),
         "ingest_rejects": _with(
             MESSAGES,
-            select="""SELECT * FROM damaged
-                WHERE NOT coalesce(CASE WHEN json_valid(value) THEN json_type(value) END = 'OBJECT', false)""",
+            select=f"SELECT * FROM damaged WHERE NOT coalesce({READABLE}, false)",
         ),
         "replay_all": _with(MESSAGES, select=_decoded("messages")),
         "replay_last": _with(

@@ -62,15 +62,27 @@ def _number(name: str, missing: int | None) -> Column:
     return F.when(_is_blank(name), F.lit(missing).cast("bigint")).otherwise(_whole_number(name))
 
 
-def _readable() -> Column:
-    """False for payloads that are no JSON object or hold a number that cannot be read."""
+def _is_text(name: str, value: str) -> Column:
+    """False for an object or array where text is expected.
+
+    The parser hands over a structure as its JSON text, just as a string with the same
+    content. Only a payload whose field begins like a structure is parsed once more to tell them apart.
+    """
+    whole = F.try_parse_json(F.col(value).cast("string"))
+    kind = F.schema_of_variant(F.try_variant_get(whole, f"$.{name}", "variant"))
+    starts_like_one = F.coalesce(F.substring(_field(name), 1, 1).isin("{", "["), F.lit(False))
+    return F.when(starts_like_one, F.coalesce(kind == "STRING", F.lit(False))).otherwise(F.lit(True))
+
+
+def _readable(value: str) -> Column:
+    """False for payloads that are no JSON object, or hold a structure for text or a number that cannot be read."""
     is_object = F.col("_json").isNotNull() & _field(_CORRUPT).isNull()
     numbers_ok = [_is_blank(n) | _whole_number(n).isNotNull() for n in _LONG_FIELDS]
     status_ok = _is_blank("status_code") | F.coalesce(
         _whole_number("status_code").between(*INT_RANGE), F.lit(False)
     )
     readable = is_object & status_ok
-    for ok in numbers_ok:
+    for ok in (*numbers_ok, *[_is_text(n, value) for n in ("timestamp", "http_route", *_TEXT_FIELDS)]):
         readable = readable & ok
     return F.coalesce(readable, F.lit(False))
 
@@ -93,7 +105,7 @@ def decode_messages(messages: DataFrame, value: str = "value", sql_nulls: bool =
         event_time = F.coalesce(event_time, now)
     return (
         _parsed(messages, value)
-        .where(_readable())
+        .where(_readable(value))
         .select(
             *kept,
             event_time.alias("event_time"),
@@ -108,4 +120,4 @@ def decode_messages(messages: DataFrame, value: str = "value", sql_nulls: bool =
 
 def rejected_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """The payloads ``decode_messages`` drops, unchanged."""
-    return _parsed(messages, value).where(~_readable()).drop("_json")
+    return _parsed(messages, value).where(~_readable(value)).drop("_json")

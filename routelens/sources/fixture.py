@@ -27,6 +27,8 @@ ROUTE_BY_EVENT = {
 HOSTS = ("app.example.com", "api.example.com", "shop.example.com")
 METHODS = ("GET", "POST", "PUT", "DELETE")
 STATUS_CODES = (200, 200, 200, 200, 200, 201, 204, 301, 400, 401, 403, 404, 500, 502, 503)
+# The event type whose route has hardly any errors.
+RELIABLE = "view"
 BASE_MICROS = 1704067200000000
 TIME_COMPRESSION = 720
 
@@ -40,6 +42,14 @@ def read_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def first_half(events: DataFrame) -> Column:
+    """True for rows in the first half of the time that ``events`` span."""
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if ends.low is None:
+        return F.lit(True)
+    return F.col("ts") < F.lit(str(ends.low + (ends.high - ends.low) / 2)).cast("timestamp_ntz")
+
+
 def _pick(values: tuple, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
@@ -67,7 +77,9 @@ def events_to_logs(events: DataFrame, default_route: bool = True) -> DataFrame:
         _pick(HOSTS, user_id % 3 + 1).alias("hostname"),
         _pick(METHODS, event_id % 4 + 1).alias("method"),
         F.concat(F.lit("/api/v1/"), base_route, F.lit("/"), (k % 7).cast("string")).alias("path"),
-        _pick(STATUS_CODES, k % 15 + 1).alias("status_code"),
+        F.when((F.col("event_type") == RELIABLE) & (event_id % 40 != 0), STATUS_CODES[0])
+        .otherwise(_pick(STATUS_CODES, k % 15 + 1))
+        .alias("status_code"),
         F.floor(F.col("value") * 4).cast("bigint").alias("response_time_ms"),
         (F.lit(100) + event_id * 37 % 10000).alias("bytes_sent"),
         (F.lit(50) + event_id * 17 % 5000).alias("bytes_received"),
@@ -114,6 +126,10 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 5, extra)
         .when(kind == 6, quoted)
         .when(kind == 7, no_latency)
+        .when(kind == 8, "{'http_route':'q'}")
+        .when(kind == 9, '{"http_route":["x"],"status_code":200}')
+        .when(kind == 10, '{"http_route":"x","path":{"a":1}}')
+        .when(kind == 11, '{"timestamp":"2024-01-01T00:00:00.000Z","http_route":"[x]","path":"{}"}')
         .otherwise(F.col("value"))
     )
     return logs_to_messages(logs).withColumn("value", value)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from routelens.schemas import struct
 from routelens.sources.decode import decode_messages
+from routelens.sources.replay import ALL, Bound, from_broker, replay
 
 # Sources that need a schema up front because Spark infers none for streams.
 MESSAGES = struct("subject STRING, seq BIGINT, value STRING")
@@ -40,10 +41,15 @@ def read_access_logs(
     path: str | None = None,
     options: Mapping[str, str] | None = None,
     sql_nulls: bool = False,
+    policy: str = ALL,
+    last_processed: Bound = 0,
+    seq_at_start: Bound = 0,
 ) -> DataFrame:
-    """Bounded access logs."""
-    messages = read_messages(spark, fmt, path, options).select("value")
-    return decode_messages(messages, sql_nulls=sql_nulls)
+    """Bounded access logs. A start position needs a source with sequence numbers or a broker's offsets."""
+    messages = from_broker(read_messages(spark, fmt, path, options))
+    if policy != ALL or last_processed:
+        messages = replay(messages, policy, last_processed, seq_at_start)
+    return decode_messages(messages.select("value"), sql_nulls=sql_nulls)
 
 
 def read_access_logs_stream(

@@ -7,12 +7,16 @@ batch reads and for the first start.
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG = logging.getLogger(__name__)
 
+# A sequence number, or one by partition (``topic-partition``).
+Bound = int | Mapping[str, int]
+
 # Names of the start positions.
 ALL = "all"
 LAST = "last"
@@ -30,8 +34,41 @@ def parse_deliver_policy(name: str) -> str:
     return policy
 
 
+def from_broker(rows: DataFrame) -> DataFrame:
+    """Rows with ``topic, partition, offset`` as ``subject, partition, seq, value``; other rows as they are.
+
+    The subject is the key, or the topic where there is none. An offset orders the rows of
+    one topic and partition only, so these two go on as one ``partition``.
+    """
+    if not {"key", "topic", "partition", "offset"} <= set(rows.columns):
+        return rows
+    topic = F.col("topic")
+    return rows.select(
+        F.coalesce(F.col("key").cast("string"), topic).alias("subject"),
+        F.concat_ws("-", topic, F.col("partition")).alias("partition"),
+        F.col("offset").alias("seq"),
+        "value",
+    )
+
+
+def _parts(messages: DataFrame) -> list[str]:
+    """The column inside which ``seq`` has an order, if not the whole log."""
+    return [c for c in messages.columns if c == "partition"]
+
+
+def _newest(messages: DataFrame, keys: list[str]) -> DataFrame:
+    newest = messages.groupBy(*keys).agg(F.max("seq").alias("s_seq"))
+    pos = newest.select(*[F.col(k).alias(f"s_{k}") for k in keys], "s_seq")
+    same = messages["seq"] == pos["s_seq"]
+    for key in keys:
+        same = same & messages[key].eqNullSafe(pos[f"s_{key}"])
+    return messages.join(pos, same, "left_semi")
+
+
 def replay_last(messages: DataFrame) -> DataFrame:
-    """The newest message."""
+    """The newest message, of each partition where there are partitions."""
+    if _parts(messages):
+        return _newest(messages, _parts(messages))
     return messages.orderBy(F.desc("seq")).limit(1)
 
 
@@ -40,20 +77,24 @@ def replay_last_per_subject(messages: DataFrame) -> DataFrame:
 
     The highest ``seq`` per subject is a hash aggregation over two columns. Payloads are
     fetched by a join on subject and ``seq``, which spreads a busy subject and lets the
-    engine broadcast the newest positions when they turn out small.
+    engine broadcast the newest positions when they turn out small. A broker keeps a key in
+    one partition; messages without a key have a newest one in each.
     """
-    newest = messages.groupBy("subject").agg(F.max("seq").alias("seq"))
-    pos = newest.select(F.col("subject").alias("s_subject"), F.col("seq").alias("s_seq"))
-    same = messages["subject"].eqNullSafe(pos["s_subject"]) & (messages["seq"] == pos["s_seq"])
-    return messages.join(pos, same, "left_semi")
+    return _newest(messages, ["subject", *_parts(messages)])
 
 
-def replay_after(messages: DataFrame, seq: int) -> DataFrame:
-    """Messages after the last processed one."""
+def replay_after(messages: DataFrame, seq: Bound) -> DataFrame:
+    """Messages after the last processed one. Partitions without a bound are read whole."""
+    if isinstance(seq, Mapping):
+        known = F.create_map(*[F.lit(x) for pair in seq.items() for x in pair]) if seq else None
+        bound = F.element_at(known, F.col("partition")) if seq else F.lit(None)
+        return messages.where(bound.isNull() | (F.col("seq") > bound))
+    if _parts(messages):
+        raise ValueError("messages of several partitions take one bound for each")
     return messages.where(F.col("seq") > seq)
 
 
-def replay_new(messages: DataFrame, seq_at_start: int) -> DataFrame:
+def replay_new(messages: DataFrame, seq_at_start: Bound) -> DataFrame:
     """Messages written after the reader started."""
     return replay_after(messages, seq_at_start)
 
@@ -63,9 +104,9 @@ def replay_from_time(logs: DataFrame, start: Column) -> DataFrame:
     return logs.where(F.col("event_time") >= start)
 
 
-def replay(messages: DataFrame, policy: str, last_processed: int = 0, seq_at_start: int = 0) -> DataFrame:
+def replay(messages: DataFrame, policy: str, last_processed: Bound = 0, seq_at_start: Bound = 0) -> DataFrame:
     """Apply a start position; a known last processed message overrides the policy."""
-    if last_processed > 0:
+    if last_processed if isinstance(last_processed, Mapping) else last_processed > 0:
         return replay_after(messages, last_processed)
     policy = parse_deliver_policy(policy)
     if policy == LAST:

@@ -48,6 +48,20 @@ def test_only_standard_json_is_read(spark, decode, payload):
     assert rejected_messages(spark.createDataFrame([(payload,)], "value STRING")).collect() == [(payload,)]
 
 
+@pytest.mark.parametrize("field", ["timestamp", "http_route", "path", "client_ip"])
+@pytest.mark.parametrize("value", [{}, {"a": 1}, [], ["x"]])
+def test_structure_is_no_text(spark, decode, field, value):
+    payload = json.dumps({**FULL, field: value})
+    assert decode(payload) == []
+    assert rejected_messages(spark.createDataFrame([(payload,)], "value STRING")).collect() == [(payload,)]
+
+
+@pytest.mark.parametrize("text", ["{}", '{"a":1}', "[x]", "["])
+def test_text_may_look_like_a_structure(decode, text):
+    (row,) = decode({**FULL, "path": text})
+    assert row["path"] == text
+
+
 @pytest.mark.parametrize("route", [None, ""])
 def test_missing_route(decode, route):
     assert decode({**FULL, "http_route": route})[0]["http_route"] == "unknown"

@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from routelens.sources import fixture
+
 duckdb = pytest.importorskip("duckdb")
 
 from tools.check_oracles import canonical, differences  # noqa: E402  needs duckdb
@@ -37,6 +39,27 @@ def test_same_as_sql(spark, oracle, name):
     assert differences(found, canonical(oracle.sql(entry.oracle_sql()[name]).df())) is None
 
 
+def test_some_windows_are_below_the_error_rate_asked_for(spark):
+    windows = QUERIES["route_metrics_5m"](spark, SF_DIR)
+    assert 0 < QUERIES["error_rate_trend"](spark, SF_DIR).count() < windows.count()
+
+
+def test_second_run_of_a_stream_carries_on_or_revises_the_first(spark):
+    events = fixture.read_events(spark, SF_DIR)
+    first = fixture.first_half(events)
+    early, late = (events.where(part).selectExpr("min(ts) a", "max(ts) b", "count(*) n").first() for part in (first, ~first))
+    assert early.b < late.a and min(early.n, late.n) > 0
+    logs = fixture.access_logs(spark, SF_DIR, default_route=False)
+    minutes = logs.selectExpr("http_route", "date_trunc('minute', event_time) AS minute", "event_id % 2 AS run").distinct()
+    both = minutes.groupBy("http_route", "minute").count().where("count = 2").count()
+    assert both > 100
+
+
+def test_rejected_payloads_are_of_every_kind(spark):
+    kinds = {(r["seq"] - 1) % 97 for r in QUERIES["ingest_rejects"](spark, SF_DIR).collect()}
+    assert kinds == {1, 2, 3, 4, 8, 9, 10}
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() == 305
 

@@ -8,6 +8,7 @@ from routelens.operators.alerts import sql_latency_alerts
 from routelens.options import JobOptions, catalog_confs, parse_args, storage_confs
 from routelens.plans import reports, views
 from routelens.sources import replay
+from routelens.sources.reader import read_access_logs
 from tests.conftest import NOON, collect, log
 
 HOUR = 3600
@@ -90,6 +91,45 @@ def test_resume_overrides_the_policy(messages):
     assert seqs(replay.replay(messages, "last", last_processed=18)) == [19, 20, 21]
 
 
+@pytest.fixture
+def broker_rows(spark):
+    """Two partitions of one topic; subject b has a key, the others have none."""
+    rows = [
+        ("b" if offset % 2 else None, f'{{"http_route":"{partition}-{offset}"}}', "logs", partition, offset)
+        for partition in (0, 1)
+        for offset in range(4 + partition)
+        if partition == 0 or offset % 2 == 0
+    ]
+    return spark.createDataFrame(rows, "key STRING, value STRING, topic STRING, partition INT, offset BIGINT").select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "topic", "partition", "offset"
+    )
+
+
+def test_start_positions_in_broker_rows(broker_rows):
+    messages = replay.from_broker(broker_rows)
+
+    def found(frame):
+        return sorted((r["partition"], r["seq"]) for r in frame.collect())
+
+    assert found(replay.replay(messages, "last")) == [("logs-0", 3), ("logs-1", 4)]
+    assert found(replay.replay(messages, "last_per_subject")) == [("logs-0", 2), ("logs-0", 3), ("logs-1", 4)]
+    assert found(replay.replay(messages, "new", seq_at_start={"logs-0": 2, "logs-1": 9})) == [("logs-0", 3)]
+    assert found(replay.replay(messages, "last", last_processed={"logs-0": 3})) == [("logs-1", s) for s in (0, 2, 4)]
+    assert messages.where("subject = 'b'").count() == 2
+    with pytest.raises(ValueError):
+        replay.replay(messages, "new", seq_at_start=2)
+
+
+def test_reader_takes_a_start_position(spark, messages, tmp_path):
+    path = str(tmp_path / "messages")
+    messages.withColumn("value", F.format_string('{"http_route":"%s"}', "value")).write.parquet(path)
+    routes = [r["http_route"] for r in read_access_logs(spark, "parquet", path, policy="last").collect()]
+    assert routes == ["v21"]
+    assert read_access_logs(spark, "parquet", path, policy="new", seq_at_start=19).count() == 2
+    assert read_access_logs(spark, "parquet", path, last_processed=18).count() == 3
+    assert read_access_logs(spark, "parquet", path).count() == 21
+
+
 def test_replay_from_time(logs_of):
     frame = logs_of(log(0), log(5), log(10))
     assert replay.replay_from_time(frame, F.lit(NOON + timedelta(seconds=5))).count() == 2
