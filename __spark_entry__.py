@@ -260,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "stream_client_activity": _stream_view("client_activity"),
     "stream_route_summary": _stream_view("route_summary"),
     "stream_mv_route_metrics_1m": _stream_view("route_metrics_1m"),
+    "stream_mv_route_metrics_1m_pct": _stream_view("route_metrics_1m_pct"),
     "stream_mv_route_metrics_5m": _stream_view("route_metrics_5m"),
     "stream_mv_error_events": _stream_view("error_events"),
     "stream_mv_latency_alerts": _stream_view("latency_alerts"),

@@ -332,6 +332,7 @@ def oracle_queries() -> dict[str, str]:
         "stream_client_activity": found["mv_client_activity"],
         "stream_route_summary": found["mv_route_summary"],
         "stream_mv_route_metrics_1m": found["mv_route_metrics_1m"],
+        "stream_mv_route_metrics_1m_pct": found["mv_route_metrics_1m_pct"],
         "stream_mv_route_metrics_5m": found["mv_route_metrics_5m"],
         "stream_mv_error_events": found["mv_error_events"],
         "stream_mv_latency_alerts": found["mv_latency_alerts"],

@@ -34,6 +34,29 @@ def route_summary(logs: DataFrame) -> DataFrame:
     )
 
 
+def route_cells(logs: DataFrame, key: str, span: str) -> DataFrame:
+    """One row per key, window and route, for tables that are summarised when they are read."""
+    return (
+        logs.groupBy(key, F.window("event_time", span).alias("window"), "http_route")
+        .agg(
+            F.count("*").alias("requests"),
+            F.count_if(is_error(F.col("status_code"))).alias("errors"),
+            F.count("response_time_ms").alias("timed"),
+            F.sum(F.col("response_time_ms").cast("double")).alias("latency_total"),
+        )
+        .select(
+            key,
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "http_route",
+            "requests",
+            "errors",
+            "timed",
+            "latency_total",
+        )
+    )
+
+
 def hostname_traffic(logs: DataFrame) -> DataFrame:
     """Requests, distinct routes and mean latency per host and five minutes."""
     return (

@@ -80,6 +80,20 @@ def _fold(cells: DataFrame, key: str) -> DataFrame:
     )
 
 
+def window_cells(logs: DataFrame, span: Sequence[str], key: str = "http_route") -> DataFrame:
+    """Cells with their window's bounds as columns, for tables that are summarised when they are read."""
+    return latency_cells(logs, key, span).select(
+        key,
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        LATENCY,
+        "requests",
+        "successes",
+        "client_errors",
+        "server_errors",
+    )
+
+
 def summarise_cells(
     cells: DataFrame, key: str, percentiles: Sequence[float] = PERCENTILES, approx: bool = False
 ) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from routelens.operators.activity import client_activity, hostname_traffic, route_summary
 from routelens.operators.alerts import sql_latency_alerts
 from routelens.operators.errors import sql_error_events
-from routelens.operators.metrics import sql_route_metrics_1m, sql_route_metrics_5m
+from routelens.operators.metrics import sql_route_metrics_1m, sql_route_metrics_1m_pct, sql_route_metrics_5m
 
 SQL_VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "route_metrics_1m": sql_route_metrics_1m,
+    "route_metrics_1m_pct": sql_route_metrics_1m_pct,
     "route_metrics_5m": sql_route_metrics_5m,
     "error_events": sql_error_events,
     "latency_alerts": sql_latency_alerts,
