@@ -1,4 +1,7 @@
-"""Repeated passages by a sparse suffix array: suffixes at minimisers, sorted, compared with their neighbours, extended both ways."""
+"""Repeated passages by a sparse suffix array: suffixes at minimisers, sorted, compared with their neighbours, extended both ways.
+
+Where a minimiser has more suffixes than a suffix has neighbours, every passage around it is looked up by its hash instead.
+"""
 
 from __future__ import annotations
 
@@ -13,11 +16,11 @@ from routelens.llm.shingles import content_key, flat_lists, gram_hashes, word_ha
 
 #: Words of a repeated passage at least, and of the gram that a suffix is chosen by.
 PASSAGE, GRAM = 50, 8
-#: Neighbours of another text that a suffix is compared with, on each side.
+#: Neighbours of another text that a suffix is compared with, on each side. A gram with more suffixes is looked up by passages.
 NEIGHBOURS = 3
 #: Suffixes that one task sorts and compares.
 PARTITION_SUFFIXES = 100_000
-_SUFFIX = "gram long, after binary, before binary, n_after int, n_before int, content binary, place int"
+_SUFFIX = "gram long, after binary, before binary, n_after int, n_before int, content binary, place int, window long"
 _SPAN = "content binary, first int, last int"
 
 
@@ -36,6 +39,15 @@ def minimisers(words: np.ndarray, gram: int = GRAM, passage: int = PASSAGE) -> t
     return chosen, hashes[chosen]
 
 
+def passages_at(words: np.ndarray, places: np.ndarray, gram: int = GRAM, passage: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of all passages whose minimiser is one of ``places``; none in a text shorter than a passage."""
+    if len(words) < passage or not len(places):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    views = np.lib.stride_tricks.sliding_window_view(gram_hashes(words, gram), passage - gram + 1)
+    first = np.flatnonzero(np.isin(_leftmost_least(views) + np.arange(len(views)), places))
+    return first, gram_hashes(words, passage)[first]
+
+
 def _leftmost_least(views: np.ndarray) -> np.ndarray:
     out = np.empty(len(views), np.int64)
     for at in range(0, len(views), 20_000):
@@ -55,7 +67,7 @@ def _contexts(words: np.ndarray, places: np.ndarray, passage: int) -> tuple[np.n
 
 
 def _places(docs: DataFrame, gram: int, passage: int) -> DataFrame:
-    """``doc_id, content, n_words, grams, places`` of every row."""
+    """``doc_id, content, n_words, grams, places, times`` of every row; times is how often the text has each gram among its suffixes."""
 
     def choose(batches):
         for batch in batches:
@@ -68,13 +80,19 @@ def _places(docs: DataFrame, gram: int, passage: int) -> DataFrame:
                         part.column(0), part.column(1), pa.array(np.diff(ends), pa.int64()),
                         pa.array([h.view(np.int64) for _, h in found], pa.list_(pa.int64())),
                         pa.array([p for p, _ in found], pa.list_(pa.int32())),
+                        pa.array([_times(h) for _, h in found], pa.list_(pa.int32())),
                     ],
-                    names=["doc_id", "content", "n_words", "grams", "places"],
+                    names=["doc_id", "content", "n_words", "grams", "places", "times"],
                 )
 
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content_key(text).alias("content"), word_hashes(text).alias("words"))
-    return rows.mapInArrow(choose, "doc_id long, content binary, n_words long, grams array<bigint>, places array<int>")
+    return rows.mapInArrow(choose, "doc_id long, content binary, n_words long, grams array<bigint>, places array<int>, times array<int>")
+
+
+def _times(hashes: np.ndarray) -> np.ndarray:
+    _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    return counts[inverse].astype(np.int32)
 
 
 def compare_neighbours(pdf: pd.DataFrame, passage: int, neighbours: int) -> pd.DataFrame:
@@ -130,22 +148,28 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, gram: int = GRAM,
     If several rows have the same words, at least ``passage`` of them, the whole text is a span of each. Null, empty
     and shorter texts have none.
 
-    Suffixes whose gram occurs in one text alone are dropped first: they match nothing. The others are
-    sorted over the cluster by gram and the words that follow, in partitions of even size, so a passage that every third
-    text has is spread over many tasks; suffixes at partition edges are compared in a second step, a few for each
-    partition. A match longer than the compared words on a side is put together from its successive suffixes.
+    Suffixes whose gram occurs in one text alone are dropped first: they match nothing. Those of a gram with at most
+    ``neighbours + 1`` suffixes, each of another text, are sorted over the cluster by gram and the words that follow, in
+    partitions of even size, and each is compared with all others of its gram; suffixes at partition edges are compared in a
+    second step, a few for each partition. A match longer than the compared words on a side is put together from its
+    successive suffixes. Around the suffixes of all other grams every passage is counted by the hash of its words, so none
+    is missed, however many texts have the gram and wherever the passages differ.
     """
     chosen = written(_places(docs, gram, passage), "suffixes")
     texts = chosen.where("content IS NOT NULL").groupBy("content").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     texts = written(texts, "texts")
-    grams = chosen.select("content", F.explode(F.array_distinct("grams")).alias("gram"))
-    shared = grams.groupBy("gram").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("gram")
+    grams = chosen.select("content", F.explode(F.arrays_zip("grams", "times")).alias("at")).select("content", "at.grams", "at.times")
+    shared = grams.groupBy(F.col("grams").alias("gram")).agg(
+        F.min("content").alias("a"), F.max("content").alias("b"), F.count("*").alias("n"), F.max("times").alias("times")
+    ).where("a <> b").select("gram", ((F.col("n") <= neighbours + 1) & (F.col("times") == 1)).alias("few"))
     owners = chosen.join(texts, (chosen.content == texts.content) & chosen.doc_id.eqNullSafe(texts.rep)).select(
         texts.content, "rep", F.explode(F.arrays_zip("grams", "places")).alias("at")
     )
-    kept = owners.select("content", "rep", F.col("at.grams").alias("gram"), F.col("at.places").alias("place")).join(shared, "gram", "left_semi")
-    wanted = written(kept.groupBy("content", "rep").agg(F.collect_set("place").alias("wanted")), "wanted")
-    table = written(_suffixes(docs, wanted, gram, passage), "sorted")
+    kept = owners.select("content", "rep", F.col("at.grams").alias("gram"), F.col("at.places").alias("place")).join(shared, "gram")
+    few, many = (F.collect_set(F.when(is_so, F.col("place"))) for is_so in (F.col("few"), ~F.col("few")))
+    wanted = written(kept.groupBy("content", "rep").agg(few.alias("few"), many.alias("many")), "wanted")
+    around = written(_suffixes(docs, wanted, gram, passage), "suffixes_and_passages")
+    table = around.where("window IS NULL").drop("window")
     n = max(1, -(-table.count() // PARTITION_SUFFIXES))
     order = ["gram", "after", "before", "content", "place"]
     ordered = table.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -155,7 +179,8 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, gram: int = GRAM,
     across = edges.groupBy().applyInPandas(
         lambda pdf: compare_neighbours(pdf.sort_values(order, ignore_index=True), passage, neighbours), _SPAN
     )
-    merged = _merged(inner.unionByName(across))
+    passages = around.where("window IS NOT NULL").select("window", "content", F.col("place").alias("first"))
+    merged = _merged(inner.unionByName(across).unionByName(_repeated(passages, passage)))
     by_text = written(texts.join(merged, "content", "left").select("content", "copies", "spans"), "by_text")
     out = chosen.select("doc_id", "content", "n_words").join(by_text, "content", "left")
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("last")))
@@ -167,34 +192,49 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, gram: int = GRAM,
 
 
 def _suffixes(docs: DataFrame, wanted: DataFrame, gram: int, passage: int) -> DataFrame:
-    """The wanted suffixes of every text with the words around them."""
+    """The wanted suffixes of every text: those of few with the words around them, those of many as ``window``, the hash of each passage."""
+    names = ["gram", "after", "before", "n_after", "n_before", "content", "place", "window"]
 
     def cut(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 words, ends = flat_lists(part.column(1))
-                lists = part.column(2).to_pylist()
+                few, many = part.column(2).to_pylist(), part.column(3).to_pylist()
                 for i, content in enumerate(part.column(0).to_pylist()):
-                    own, places = words[ends[i] : ends[i + 1]], np.array(sorted(lists[i]), np.int64)
+                    own, places = words[ends[i] : ends[i + 1]], np.array(sorted(few[i]), np.int64)
                     right, left, n_after, n_before = _contexts(own, places, passage)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(gram_hashes(own, gram)[places].view(np.int64)),
                             pa.array([row.tobytes() for row in right], pa.binary()), pa.array([row.tobytes() for row in left], pa.binary()),
                             pa.array(n_after, pa.int32()), pa.array(n_before, pa.int32()),
-                            pa.array([content] * len(places), pa.binary()), pa.array(places, pa.int32()),
+                            pa.array([content] * len(places), pa.binary()), pa.array(places, pa.int32()), pa.nulls(len(places), pa.int64()),
                         ],
-                        names=["gram", "after", "before", "n_after", "n_before", "content", "place"],
+                        names=names,
                     )
+                    first, hashes = passages_at(own, np.array(many[i], np.int64), gram, passage)
+                    for a in range(0, len(first), 20_000):
+                        places, window = first[a : a + 20_000], hashes[a : a + 20_000].view(np.int64)
+                        rest = [pa.nulls(len(places), kind) for kind in (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32())]
+                        own_key = pa.array([content] * len(places), pa.binary())
+                        yield pa.RecordBatch.from_arrays([*rest, own_key, pa.array(places, pa.int32()), pa.array(window)], names=names)
 
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), text.alias("text"), content_key(text).alias("__content"))
     same = (F.col("__content") == F.col("content")) & F.col("__id").eqNullSafe(F.col("rep"))
-    joined = rows.join(wanted.hint("merge"), same).select("content", word_hashes(text).alias("words"), "wanted")
+    joined = rows.join(wanted.hint("merge"), same).select("content", word_hashes(text).alias("words"), "few", "many")
     return joined.mapInArrow(cut, _SUFFIX)
 
 
+def _repeated(passages: DataFrame, passage: int) -> DataFrame:
+    """``content, first, last`` of the ``passages(window, content, first)`` that another text has too."""
+    texts = passages.groupBy("window").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+    shared = texts.where("a <> b").select("window")
+    found = passages.join(shared.hint("merge"), "window", "left_semi")  # one plan at every size
+    return found.select("content", "first", (F.col("first") + passage).cast("int").alias("last"))
+
+
 def _compared(ordered: DataFrame, passage: int, neighbours: int) -> DataFrame:
     """Spans found inside partitions, with ``edge`` null, and the suffixes at their edges."""
     kind = f"{_SPAN}, edge struct<gram:bigint,after:binary,before:binary,n_after:int,n_before:int,content:binary,place:int>"

@@ -231,6 +231,17 @@ def test_repeated_passages_match_all_windows(documents, monkeypatch, partition):
         assert found[i].n_repeated == sum(s.last - s.first for s in found[i].spans)
 
 
+def test_passages_that_end_with_a_frequent_line(documents):
+    """Where the minimiser stands in the line, the words that follow do not bring the two copies of a passage together."""
+    texts = []
+    for at in range(1_000, 17_000, 1_000):
+        words = _words(60, at)
+        texts += [" ".join([*_words(30, at + i), *words, *_words(30, at + 50 + i)]) for i in (1, 2)]
+        texts += [" ".join([*_words(30, at + i), *words[40:], *_words(30, at + 50 + i)]) for i in range(3, 24)]
+    rows = {r.doc_id: r.n_repeated for r in suffix_dedup.repeated_passages(documents(list(enumerate(texts)))).collect()}
+    assert [rows[i] for i in range(len(texts))] == _shared_words(texts, 50)
+
+
 def test_passages_of_odd_rows(documents):
     text = " ".join(_words(60, 1))
     docs = documents([(None, text), (None, text), (1, None), (1, "")])
