@@ -3,8 +3,9 @@
 A window of toxic text compresses better once the compressor also knows toxic phrases. The ordinary
 dictionary is trained on windows of ordinary documents. The toxic one is trained on the phrases by which
 toxic documents stand out. It is put before the ordinary one, because toxic documents are otherwise
-ordinary prose, and there it leaves the distances to ordinary phrases, and so their cost, as they are. A window's gain is the bytes saved by the toxic dictionary. Documents are judged by the
-bytes gained in windows that gain at least a calibrated number.
+ordinary prose, and there it leaves the distances to ordinary phrases, and so their cost, as they are. A window's gain is the bytes saved by the toxic dictionary. Each gain
+counts by how much more often windows of toxic documents have it. Documents are judged by the stretch of windows
+where these counts add up to most, against what chance gives in a text of so many windows.
 """
 
 from __future__ import annotations
@@ -24,8 +25,11 @@ from pyspark.sql import functions as F
 from routelens.llm.common import fold_of, in_share, per_worker, whole_text, written
 
 WINDOW, STRIDE = 48, 32
-#: Labelled documents that the model is fitted on, by class, and their longest text in characters.
-TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 6_000, 1: 2_000}, 20_000
+#: Labelled documents that the model is fitted on, by class, and the characters that all of them have at most. Where texts are
+#: long, fewer are chosen; none is left out for its length.
+TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 6_000, 1: 2_000}, 200_000_000
+#: Gains from here on count alike.
+MOST_GAIN = 12
 LEAST_RATIO = 24.0
 ORDINARY_BYTES, TOXIC_BYTES = 24_576, 6_144
 _STEM = 5
@@ -34,30 +38,52 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Dictionaries, the least gain of a suspicious window, and score by the bytes that suspicious windows gain."""
+    """Dictionaries, the log-likelihood ratio of each gain, and score by the stretch of windows with the largest sum of them."""
 
     ordinary: bytes
     toxic: bytes
-    least_gain: int
+    ratios: tuple[float, ...]
     weight: float
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        bytes_gained = _evidence(window_gains(self, texts), len(texts), self.least_gain)
-        return _sigmoid(self.weight * np.log1p(bytes_gained) + self.bias)
+        evidence = _evidence(window_gains(self, texts), len(texts), self.ratios)
+        return _sigmoid(self.weight * np.log1p(evidence) + self.bias)
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _evidence(gains: tuple[np.ndarray, np.ndarray], n: int, least: int) -> np.ndarray:
-    """Bytes gained in all suspicious windows of each text; of two in a row that share a phrase the larger counts."""
+def _levels(gains: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Gains from 0 to ``MOST_GAIN``, and which windows count: of two in a row that share a phrase only the first."""
     owner, gain = gains
-    gain = np.where(gain >= least, gain, 0)
-    shared = np.zeros(len(gain), bool)
-    shared[1:] = (owner[1:] == owner[:-1]) & (gain[1:] == gain[:-1])
-    return np.bincount(owner, weights=np.where(shared, 0, gain), minlength=n)
+    counts = np.ones(len(gain), bool)
+    counts[1:] = (owner[1:] != owner[:-1]) | (gain[1:] != gain[:-1]) | (gain[1:] <= 0)
+    return np.clip(gain, 0, MOST_GAIN), counts
+
+
+def _ratios(level: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
+    """Log of the share of each gain among windows of toxic documents over that among ordinary ones; no larger gain counts less."""
+    shares = []
+    for some in (toxic, ~toxic):
+        count = np.bincount(level[some], minlength=MOST_GAIN + 1) + 0.5
+        shares.append(np.log(count / count.sum()))
+    return tuple(np.maximum.accumulate(shares[0] - shares[1]).tolist())
+
+
+def _evidence(gains: tuple[np.ndarray, np.ndarray], n: int, ratios: tuple[float, ...]) -> np.ndarray:
+    """The largest sum of ratios over a stretch of each text's windows, less the log of their number, at least 0.
+
+    Among ``w`` ordinary windows a sum of ``log(w) + x`` is met by chance with a probability of the order ``exp(-x)``, whatever ``w``.
+    """
+    level, counts = _levels(gains)
+    sums = np.concatenate([[0.0], np.cumsum(np.where(counts, np.array(ratios)[level], 0.0))])
+    ends = np.searchsorted(gains[0], np.arange(n + 1))
+    best = np.zeros(n)
+    for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        best[i] = (sums[a : b + 1] - np.minimum.accumulate(sums[a : b + 1])).max()
+    return np.maximum(best - np.log(np.maximum(np.diff(ends), 1)), 0.0)
 
 
 def windows(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -159,7 +185,10 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def fit(ordinary: list[str], toxic: list[str]) -> ToxicityModel:
-    """Trains both dictionaries and calibrates the threshold and the score on the same documents."""
+    """Trains both dictionaries, and calibrates the ratios and the score.
+
+    Every second ordinary text trains the dictionary, the others calibrate: a text in the dictionary gains less than an unseen one.
+    """
     marks = standing_out(ordinary, toxic)
     phrases = []
     for text in toxic:
@@ -167,24 +196,20 @@ def fit(ordinary: list[str], toxic: list[str]) -> ToxicityModel:
         if words:
             phrases.append((" " + " ".join(words) + " ").encode())
     prose = []
-    for text in ordinary:
+    for text in ordinary[::2]:
         data, spans, _ = windows([text])
         prose += [data[a : a + n] for a, n in spans[::4].tolist()]
-    model = ToxicityModel(_dictionary(prose, ORDINARY_BYTES), _dictionary(phrases, TOXIC_BYTES), 1, 0.0, -1.0)
+    model = ToxicityModel(_dictionary(prose, ORDINARY_BYTES), _dictionary(phrases, TOXIC_BYTES), (0.0,) * (MOST_GAIN + 1), 0.0, -1.0)
+    ordinary = ordinary[1::2] or ordinary
     texts = ordinary + toxic
     truth = np.repeat([0.0, 1.0], [len(ordinary), len(toxic)])
     if not ordinary or not toxic:
         return model
     gains = window_gains(model, texts)
-    best = None
-    for least in range(1, 13):
-        x = np.log1p(_evidence(gains, len(texts), least))
-        weight, bias = _logistic(x, truth)
-        score = _sigmoid(weight * x + bias)
-        loss = -np.mean(truth * np.log(score) + (1 - truth) * np.log(1 - score))
-        if best is None or loss < best[0]:
-            best = (loss, least, weight, bias)
-    return ToxicityModel(model.ordinary, model.toxic, *best[1:])
+    level, counts = _levels(gains)
+    ratios = _ratios(level[counts], gains[0][counts] >= len(ordinary))
+    weight, bias = _logistic(np.log1p(_evidence(gains, len(texts), ratios)), truth)
+    return ToxicityModel(model.ordinary, model.toxic, ratios, weight, bias)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -206,17 +231,21 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityModel:
     """Fits on about ``TRAINING_DOCUMENTS`` labelled rows of each class outside the held-out fold, or all if there are fewer.
 
-    A hash of the id chooses them among all labelled rows; those with texts over ``TRAINING_CHARS`` are left out. That
-    is what reaches the driver. The order in which rows arrive changes nothing.
+    A hash of the id chooses them among all labelled rows with a text, fewer if all together would have more than
+    ``TRAINING_CHARS`` characters. They reach the driver whole. The order in which rows arrive changes nothing.
     """
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
     known = known.where(fold_of(F.col("doc_id"), folds) != held_out)
-    counts = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    texts = docs.select("doc_id", "text").where(F.length("text") > 0)
+    sizes = texts.select("doc_id", F.length("text").cast("long").alias("chars")).join(known, "doc_id")
+    counts = {r.toxic: r for r in sizes.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()}
     share = F.lit(0.0)
-    for toxic, limit in TRAINING_DOCUMENTS.items():
-        share = F.when(F.col("toxic") == toxic, min(1.0, limit / max(counts.get(toxic, 0), 1))).otherwise(share)
+    for toxic, row in counts.items():
+        documents = TRAINING_DOCUMENTS[toxic]
+        chars = TRAINING_CHARS * documents / sum(TRAINING_DOCUMENTS.values())
+        share = F.when(F.col("toxic") == toxic, min(1.0, documents / row.n, chars / row.chars)).otherwise(share)
     chosen = written(known.where(in_share(share, "doc_id")), "labelled")
-    rows = docs.select("doc_id", "text").where(F.length("text").between(1, TRAINING_CHARS)).join(chosen, "doc_id")
+    rows = texts.join(chosen, "doc_id")
     found: dict[int, list[str]] = {0: [], 1: []}
     for row in rows.select("toxic", "text").collect():
         found[row.toxic].append(row.text)
@@ -231,7 +260,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) in place of columns so named; no shuffle.
 
     Every window of every whole text is compared. A null text is an empty one; empty texts have the score of no
-    suspicious window. Repeated rows are scored one by one.
+    evidence. Repeated rows are scored one by one.
     """
     constants = model
 

@@ -147,6 +147,28 @@ def test_one_toxic_passage_at_the_end_of_a_long_text_counts():
     assert bad > 0.5 > model.scores([rows[1][1]])[0] and bad > plain
 
 
+def test_long_clean_texts_stay_clean():
+    def some(n, seed):  # every twelfth clean text has one toxic word by chance
+        stray = ["zwurxel", "quogvex", "xyhhvoz"]
+        return [(f"{text} {stray[i % 3]} so" if i % 15 == 1 else text, toxic) for i, text, toxic in _toxic_corpus(n, seed)]
+
+    rows = some(400, 4)
+    model = toxicity.fit([text for text, toxic in rows if not toxic], [text for text, toxic in rows if toxic])
+    unseen = [text for text, toxic in some(1_500, 8) if not toxic]
+    clean = [" ".join(unseen[a : a + n]) for a, n in ((0, 20), (0, 400), (400, 400), (800, 400))]
+    assert len(clean[1]) > 200_000
+    passage = "zwurxel ka mene quogvex so tupi xyhhvoz pe lagudi zwurxel no quogvex tu bali fesoka xyhhvoz mo zwurxel dipa quogvex"
+    bad = [f"{text} {passage}" for text in clean]
+    assert model.scores(clean).max() < 0.5 < model.scores(bad).min()
+
+
+def test_long_texts_are_trained_on(spark, documents):
+    rows = _toxic_corpus(150, 5)
+    docs = documents([(i, text + " " + "la di da " * 3_000) for i, text, _ in rows])
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert b"zwurxel" in model.toxic and model.weight > 0
+
+
 def test_windows_cover_every_byte():
     for text in ("", "a", "é" * 100, "word " * 50):
         data, spans, owner = toxicity.windows([text, "other"])
