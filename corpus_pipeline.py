@@ -29,7 +29,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents one stays: the one with the least id. Texts without words all stay."""
     classes = jaccard_join.jaccard_join(docs)
-    first = classes.where("content IS NOT NULL").groupBy("class_id").agg(F.min(F.struct("doc_id", "content")).alias("stays"))
+    first = classes.where("content IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "content")).alias("stays"))
     stays = written(first.select("stays.*"), "stays")
     rows = docs.select(*COLUMNS).withColumn("__content", content_key(F.col("text")))
     same = rows["doc_id"].eqNullSafe(stays["doc_id"]) & (rows["__content"] == stays["content"])

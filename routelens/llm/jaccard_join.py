@@ -136,12 +136,13 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 
 
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """``doc_id, content, class_id, n_links, n_linked_texts`` of every row of ``docs(doc_id, text)``.
+    """``doc_id, content, root, class_id, n_links, n_linked_texts`` of every row of ``docs(doc_id, text)``.
 
     Words are lower case and split at white space; documents are linked if their sets of ``SHINGLE`` words have a Jaccard
     similarity of at least ``threshold``. ``n_links`` counts the other rows linked, exact copies included. ``n_linked_texts``
-    counts different word sequences linked. ``class_id`` is the least doc_id of all rows that links connect. Shorter texts
-    are one shingle. A text without words, or null, is linked to nothing: its content is null and its class its own id.
+    counts different word sequences linked. ``class_id`` is the least doc_id of all rows that links connect; where ids
+    are null or repeated, several classes have the same. ``root`` is the least content of the class, and its key. Shorter texts
+    are one shingle. A text without words, or null, is linked to nothing: its content and root are null and its class its own id.
     Columns other than doc_id and text are ignored.
 
     Rows with the same words are one text from the first step on. Only texts that share a band with another text go on. Bands
@@ -172,13 +173,13 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     ).withColumn("root", F.coalesce("root", "content"))
     least = classed.groupBy("root").agg(F.min("rep").alias("class_id"))
     by_text = classed.join(least, "root").join(links, "content", "left").select(
-        "content", "class_id", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "content", "root", "class_id", (F.coalesce("linked_docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("linked_texts", F.lit(0)).alias("n_linked_texts"),
     )
     by_text = written(by_text, "by_text")
     out = signed.select("doc_id", "content").join(by_text, "content", "left")
     return out.select(
-        "doc_id", "content", F.when(F.col("content").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "content", "root", F.when(F.col("content").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).cast("long").alias("n_linked_texts"),
     )
 

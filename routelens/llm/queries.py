@@ -54,7 +54,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("content")
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("content", "root")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
