@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.common import fold_of, in_share, whole_text
+from routelens.llm.common import fold_of, in_share, whole_text, written
 
 HIDDEN = 8
 #: Bytes that the network reads in one run; each run starts from a zero state, in both directions.
 RUN = 128
-#: Texts of each language that the network learns from, the most languages, and the texts' longest length in characters.
+#: Texts of each language that the network learns from if there are at most so many languages, and the longest stretch of a text in
+#: characters. With more languages each has fewer texts, but none less than one.
 TRAINING_DOCUMENTS, LANGUAGES, TRAINING_CHARS = 300, 64, 20_000
 UNDETERMINED = "und"
 _EPOCHS, _BATCH, _TRAINING_RUN, _RUNS_OF_A_TEXT = 6, 128, 48, 12
@@ -54,8 +55,9 @@ class LanguageModel:
         sizes = np.array([len(d) for d in data], np.int64)
         lengths = np.minimum(sizes[owner] - within * RUN, RUN)
         order = np.argsort(-lengths, kind="stable")
-        for at in range(0, len(order), 1024):
-            some = order[at : at + 1024]
+        width = max(16, min(1024, 1024 * LANGUAGES // max(len(self.languages), 1)))  # bounds memory where languages are many
+        for at in range(0, len(order), width):
+            some = order[at : at + width]
             np.add.at(totals, owner[some], self._label_sums(padded[some], lengths[some]))
         return totals / np.maximum(sizes, 1)[:, None]
 
@@ -211,17 +213,21 @@ def _finished(names: tuple[str, ...], w: dict) -> LanguageModel:
 def train(docs: DataFrame, folds: int = 4, held_out: int = 2) -> LanguageModel:
     """Fits on about ``TRAINING_DOCUMENTS`` texts of each language outside the held-out fold, or all if there are fewer.
 
-    A hash chooses them among all texts up to ``TRAINING_CHARS`` long; only these reach the driver. Of more than
-    ``LANGUAGES`` languages those with most rows are learned.
+    A hash chooses them among all texts; only these reach the driver, of longer texts a stretch of ``TRAINING_CHARS`` at
+    a place chosen by a hash. Every language is learned: with more than ``LANGUAGES`` each has the fewer texts, and the
+    text with the least hash is always among them.
     """
-    rows = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    rows = rows.where(fold_of(F.col("doc_id"), folds) != held_out).where(F.length("text").between(1, TRAINING_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row.lang, min(1.0, TRAINING_DOCUMENTS / row["count"])).otherwise(share)
-    chosen = sorted((row.lang, row.text) for row in rows.where(in_share(share, "doc_id", "text")).select("lang", "text").collect())
-    return fit([text for _, text in chosen], [lang for lang, _ in chosen])
+    rows = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    rows = rows.where(fold_of(F.col("doc_id"), folds) != held_out).withColumn("__hash", F.xxhash64("doc_id", "text"))
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("__n"), F.min("__hash").alias("__least")), "languages")
+    of_each = TRAINING_DOCUMENTS * min(1.0, LANGUAGES / max(counts.count(), 1))
+    chosen = rows.join(counts, "lang").where(
+        in_share(F.least(F.lit(1.0), F.lit(of_each) / F.col("__n")), "doc_id", "text") | (F.col("__hash") == F.col("__least"))
+    )
+    spare = F.greatest(F.length("text") - TRAINING_CHARS, F.lit(0))
+    stretch = F.substring("text", (F.pmod(F.col("__hash"), spare + 1) + 1).cast("int"), F.lit(TRAINING_CHARS))
+    learned = sorted((row.lang, row.text) for row in chosen.select("lang", stretch.alias("text")).collect())
+    return fit([text for _, text in learned], [lang for lang, _ in learned])
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -103,6 +103,21 @@ def test_languages_are_told_apart(documents):
     assert language_id.predict(docs.limit(0), model).count() == 0
 
 
+def test_every_language_is_learned(documents):
+    rng = random.Random(9)
+    rows = []
+    for k in range(70):  # the rarest have one text, and one has long texts alone
+        words = ["".join(chr(0x4E00 + 40 * k + rng.randrange(40)) for _ in range(3)) for _ in range(6)]
+        texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(4 if k < 66 else 1)]
+        if k == 3:
+            texts = [text * 250 for text in texts]
+            assert min(map(len, texts)) > 20_000
+        rows += [(100 * k + i, text, f"l{k:02}", "web") for i, text in enumerate(texts)]
+    model = language_id.train(documents(rows), 10**6, 10**6)  # no fold is held out
+    assert model.languages == tuple(f"l{k:02}" for k in range(70))
+    assert model.probabilities(["a b", ""]).shape == (2, 70)
+
+
 def test_long_texts_are_labelled_to_the_end():
     texts = _sentences("xx", 80, 1) + _sentences("yy", 80, 2)
     model = language_id.fit(texts, ["xx"] * 80 + ["yy"] * 80)
