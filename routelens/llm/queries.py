@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelens.llm import (
-    jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, suffix_dedup, token_counts, toxicity,
+    jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, reference_parse, suffix_dedup, token_counts, toxicity,
 )
 
 #: Rows that Arrow hands to a Python function at once: bounds memory where texts are long.
@@ -76,11 +76,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_reference_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = reference_parse.drop_repeated_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_mix_sources, op3_repeated_passages, op4_line_dedup, op5_quality_rules, op6_jaccard_join,
         op7_best_fit_packing, op8_token_counts, op9_language_id, op10_nearest,
+        op11_reference_parse,
     )
 }
 
@@ -112,4 +118,25 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM (SELECT *, k IN (SELECT k FROM common) AS gone FROM lines) GROUP BY r, doc_id
 """
 
-ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL}
+WINDOWS_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS a
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+windows AS (
+  SELECT r, doc_id, p, list_slice(a, p, p + 19) AS w
+  FROM (SELECT r, doc_id, a, unnest(range(1, len(a) - 18)) AS p FROM words WHERE len(a) >= 20)),
+firsts AS (
+  SELECT r, p, doc_id IS DISTINCT FROM first_value(doc_id) OVER w OR p <> first_value(p) OVER w AS later
+  FROM (SELECT r, doc_id, p, md5(array_to_string(w, ' ')) AS h FROM windows)
+  WINDOW w AS (PARTITION BY h ORDER BY doc_id NULLS LAST, p)),
+covered AS (SELECT DISTINCT r, unnest(range(p, p + 20)) AS place FROM firsts WHERE later),
+kept AS (
+  SELECT words.r, words.doc_id, words.place, words.word, covered.place IS NOT NULL AS gone
+  FROM (SELECT r, doc_id, unnest(a) AS word, generate_subscripts(a, 1) AS place FROM words) words
+  LEFT JOIN covered ON covered.r = words.r AND covered.place = words.place)
+SELECT any_value(words.doc_id) AS doc_id, count(kept.place) AS n_words, count(kept.place) FILTER (WHERE kept.gone) AS n_removed,
+  sha256(coalesce(string_agg(CASE WHEN kept.gone THEN NULL ELSE kept.word END, ' ' ORDER BY kept.place), '')) AS kept_sha256
+FROM words LEFT JOIN kept ON kept.r = words.r GROUP BY words.r
+"""
+
+ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL, "op11_reference_parse": WINDOWS_SQL}
