@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelens.llm import (
-    jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, reference_parse, suffix_dedup, token_counts, toxicity,
+    jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, reference_parse, spelling, suffix_dedup, token_counts, toxicity,
 )
 
 #: Rows that Arrow hands to a Python function at once: bounds memory where texts are long.
@@ -81,12 +81,16 @@ def op11_reference_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_mix_sources, op3_repeated_passages, op4_line_dedup, op5_quality_rules, op6_jaccard_join,
         op7_best_fit_packing, op8_token_counts, op9_language_id, op10_nearest,
-        op11_reference_parse,
+        op11_reference_parse, op13_spelling_variants,
     )
 }
 
@@ -139,4 +143,42 @@ SELECT any_value(words.doc_id) AS doc_id, count(kept.place) AS n_words, count(ke
 FROM words LEFT JOIN kept ON kept.r = words.r GROUP BY words.r
 """
 
-ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL, "op11_reference_parse": WINDOWS_SQL}
+SPELLING_SQL = """
+WITH RECURSIVE codes AS (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps),
+runs AS (
+  SELECT id, run, count(*) AS times
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY id, run),
+hashed AS (
+  SELECT run, times, xor(list_reduce([4294967295] || flatten(list_transform(string_split(concat(id, ':', run), ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [(192 + (unicode(c) >> 6))::BIGINT, (128 + (unicode(c) & 63))::BIGINT] END)),
+    lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, codes),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n
+  FROM (SELECT times, CASE WHEN h % 97 = 0 THEN concat(left(run, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+short AS (
+  SELECT word, n, i, concat(left(word, i - 1), substr(word, i + 1)) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM short a JOIN short b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM short a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM short a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place
+  FROM pairs),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 2 * words.n THEN near END AS form, CASE WHEN near_n >= 2 * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word AND place = 1),
+ways AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT ways.word, forms.word, forms.form FROM ways JOIN forms ON forms.word = ways.next)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ways ON ways.word = forms.word AND ways.next IS NULL
+"""
+
+ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL, "op11_reference_parse": WINDOWS_SQL, "op13_spelling_variants": SPELLING_SQL}
