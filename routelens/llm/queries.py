@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelens.llm import (
-    jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, reference_parse, spelling, suffix_dedup, token_counts, toxicity,
+    collocations, jaccard_join, language_id, line_dedup, mixing, nearest, packing, quality, reference_parse, spelling, suffix_dedup, token_counts, toxicity,
 )
 
 #: Rows that Arrow hands to a Python function at once: bounds memory where texts are long.
@@ -81,6 +81,10 @@ def op11_reference_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -90,7 +94,7 @@ QUERIES = {
     for f in (
         op1_toxicity, op2_mix_sources, op3_repeated_passages, op4_line_dedup, op5_quality_rules, op6_jaccard_join,
         op7_best_fit_packing, op8_token_counts, op9_language_id, op10_nearest,
-        op11_reference_parse, op13_spelling_variants,
+        op11_reference_parse, op12_collocations, op13_spelling_variants,
     )
 }
 
@@ -143,6 +147,42 @@ SELECT any_value(words.doc_id) AS doc_id, count(kept.place) AS n_words, count(ke
 FROM words LEFT JOIN kept ON kept.r = words.r GROUP BY words.r
 """
 
+PHRASES_SQL = """
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, string_split_regex(piece, '[\\x20\\x09]+') AS a
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+clean AS (SELECT lang, p, list_filter(a, lambda w: w <> '') AS a FROM pieces),
+ones AS (SELECT lang, unnest(a) AS w, count(*) AS f FROM clean GROUP BY lang, w),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+twos AS (
+  SELECT lang, a[i] AS w1, a[i + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, a, unnest(range(1, len(a))) AS i FROM clean) GROUP BY ALL),
+threes AS (
+  SELECT lang, a[i] AS w1, a[i + 1] AS w2, a[i + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, a, unnest(range(1, len(a) - 1)) AS i FROM clean) GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS longest
+  FROM (SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, concat(t.w1, ' ', t.w2) AS phrase, 1 AS k, t.f AS a, x.f AS l, y.f AS r
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.w = t.w1 JOIN ones y ON y.lang = t.lang AND y.w = t.w2
+  LEFT JOIN longer g ON g.lang = t.lang AND g.w1 = t.w1 AND g.w2 = t.w2
+  WHERE t.f >= 10 AND (longest IS NULL OR 100 * longest < 50 * t.f)
+  UNION ALL
+  SELECT t.lang, concat(t.w1, ' ', t.w2, ' ', t.w3), 1, t.f, x.f, y.f
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.w = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, concat(t.w1, ' ', t.w2, ' ', t.w3), 2, t.f, x.f, y.f
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.w = t.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM weakest WHERE place = 1)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes ON sizes.lang = ranked.lang WHERE rank <= 2000
+"""
+
 SPELLING_SQL = """
 WITH RECURSIVE codes AS (
   SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -181,4 +221,10 @@ ways AS (
 SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ways ON ways.word = forms.word AND ways.next IS NULL
 """
 
-ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op4_line_dedup": LINES_SQL, "op11_reference_parse": WINDOWS_SQL, "op13_spelling_variants": SPELLING_SQL}
+ORACLE_SQL = {
+    "op2_mix_sources": MIX_SQL,
+    "op4_line_dedup": LINES_SQL,
+    "op11_reference_parse": WINDOWS_SQL,
+    "op12_collocations": PHRASES_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
+}

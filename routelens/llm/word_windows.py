@@ -57,10 +57,10 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed(found + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def _chunk_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of ``data`` and where they begin; a word also ends at each of ``breaks``."""
+def chunk_words(data: np.ndarray, breaks: np.ndarray, is_blank: np.ndarray = _IS_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of ``data``, where they begin and where they end; a word also ends at each of ``breaks``."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_IS_BLANK[data]
+    inside[1:-1] = ~is_blank[data]
     begins = inside[1:] & ~inside[:-1]
     ends = inside[:-1] & ~inside[1:]
     cut = breaks[(breaks > 0) & (breaks < len(data))]
@@ -68,34 +68,51 @@ def _chunk_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     begins[cut] = True
     ends[cut] = True
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
-    return range_hashes(prefix_sums(_BYTE_VALUES[data]), starts, stops), starts
+    return range_hashes(prefix_sums(_BYTE_VALUES[data]), starts, stops), starts, stops
 
 
-def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a string column in order, and the number of the first word of each row and of the end."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-    buffer = column.buffers()[2]
-    data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
-    hashes, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+def text_chunks(column: pa.Array, is_blank: np.ndarray = _IS_BLANK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(place, bytes, breaks)``: a string column's bytes in order, some at a time; ``breaks`` are the rows' ends in them.
+
+    A chunk ends behind a blank or at the end of a row, however long a word is.
+    """
+    column, offsets, data = _column_bytes(column)
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         stop = min(at + CHUNK_BYTES, end)
-        while stop < end:  # a chunk ends behind a blank or at the end of a row, however long a word is
+        while stop < end:
             part = data[stop - 1 : min(stop + CHUNK_BYTES, end)]
-            blank = int(np.argmax(_IS_BLANK[part])) if _IS_BLANK[part].any() else len(part)
+            blank = int(np.argmax(is_blank[part])) if is_blank[part].any() else len(part)
             row = int(offsets[np.searchsorted(offsets, stop)])
             if min(stop + blank, row) <= stop - 1 + len(part):
                 stop = min(stop + blank, row)
                 break
             stop = stop - 1 + len(part)
         low, high = np.searchsorted(offsets, [at, stop])
-        found, starts = _chunk_words(data[at:stop], offsets[low : high + 1] - at)
+        yield at, data[at:stop], offsets[low : high + 1] - at
+        at = stop
+
+
+def _column_bytes(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    buffer = column.buffers()[2]
+    return column, offsets, np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
+
+
+def row_offsets(column: pa.Array) -> np.ndarray:
+    """Where each row's bytes begin and the last ends, as ``text_chunks`` counts places."""
+    return _column_bytes(column)[1]
+
+
+def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a string column in order, and the number of the first word of each row and of the end."""
+    hashes, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for at, data, breaks in text_chunks(column):
+        found, starts, _ = chunk_words(data, breaks)
         hashes.append(found)
         places.append(starts + at)
-        at = stop
-    starts = np.concatenate(places)
-    return np.concatenate(hashes), np.searchsorted(starts, offsets, side="left")
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), row_offsets(column), side="left")
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
