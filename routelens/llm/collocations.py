@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routelens.llm.common import whole_text, written
@@ -32,8 +32,8 @@ SCORE_UNIT = 1_000_000
 WORD_IDS, PAIR_IDS = 1 << 20, 1 << 22
 #: Ids along a tile's side; a tile with a pair for every so many cells is counted by address.
 TILE_SIDE, CELLS_A_PAIR = 512, 8
-#: Words, pairs or triples that a task counts at once.
-GATHERED = 4_000_000
+#: Pairs or triples that a task counts at once, distinct words that it holds, and rows that it hands over together.
+GATHERED, GATHERED_WORDS, HANDED = 500_000, 300_000, 50_000
 _KEY_BIT = np.uint64(1 << 62)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -102,7 +102,7 @@ def _words(docs: DataFrame, seed: int) -> DataFrame:
                 words = [tokens.data[a:b] for a, b in zip(tokens.start[first].tolist(), tokens.end[first].tolist(), strict=True)]
                 held.append((keys, counts, words, [names[i] for i in tokens.lang[first].tolist()]))
                 size += len(keys)
-                if size > GATHERED // 8:
+                if size > GATHERED_WORDS:
                     yield release(held)
                     held, size = [], 0
         if held:
@@ -133,23 +133,35 @@ class _Ranks:
     """Ids below ``most`` of values by their rank, the most frequent first; ``complete`` if nothing frequent is left without one."""
 
     def __init__(self, ranked: np.ndarray, most: int, complete: bool):
-        self.ranked, self.most = ranked, most
-        self._order = np.argsort(ranked, kind="stable")
+        self.most = most
+        self._order = np.argsort(ranked, kind="stable").astype(np.int32)
         self._sorted = ranked[self._order]
         self.complete = complete
 
+    def ranked(self) -> np.ndarray:
+        """The values by their id."""
+        values = np.empty_like(self._sorted)
+        values[self._order] = self._sorted
+        return values
+
     def of(self, values: np.ndarray) -> np.ndarray:
         """The id of each value, -1 where it has none."""
         if not len(self._sorted):
-            return np.full(len(values), -1)
+            return np.full(len(values), -1, np.int64)
         place = np.minimum(np.searchsorted(self._sorted, values), len(self._sorted) - 1)
-        return np.where(self._sorted[place] == values, self._order[place], -1)
+        return np.where(self._sorted[place] == values, self._order[place].astype(np.int64), np.int64(-1))
 
 
-def _rank(frame: DataFrame, value: Column, most: int, *ties: str) -> _Ranks:
-    total = frame.count()
-    ranked = frame.orderBy(F.desc("n"), *ties).limit(most).select(value.alias("value")).toPandas()["value"]
-    return _Ranks(ranked.to_numpy(np.int64), most, total <= most)
+def _rank(frame: DataFrame, value: Column, most: int) -> _Ranks:
+    """The most frequent values of ``frame``, as many as have one of the largest counts and are at most ``most``."""
+    total, least = frame.count(), 0
+    if total > most:
+        above = F.sum("values").over(Window.orderBy(F.desc("n")))
+        sizes = frame.groupBy("n").agg(F.count("*").alias("values")).withColumn("above", above)
+        least = sizes.where(F.col("above") <= most).agg(F.min("n")).first()[0]
+    told = frame.where(F.lit(least is not None) & (F.col("n") >= F.lit(least))).select(value.alias("value"), "n").toArrow()
+    values, n = (told.column(i).to_numpy() for i in (0, 1))
+    return _Ranks(values[np.lexsort((values, -n))].astype(np.int64), most, total <= most)
 
 
 def count_cells(rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,8 +232,8 @@ def _counted(docs: DataFrame, seed: int, length: int, words: _Ranks, cells: Call
 
     def release(held):
         for found in cells([np.concatenate(parts) for parts in zip(*held, strict=True)]):
-            for at in range(0, len(found[0]), 1 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 20)]) for c in found], names=[*names, "n"])
+            for at in range(0, len(found[0]), HANDED):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + HANDED]) for c in found], names=[*names, "n"])
 
     parts = docs.mapInArrow(count, ", ".join(f"{name} long" for name in (*names, "n")))
     return parts.groupBy(*names).agg(F.sum("n").alias("n"))
@@ -251,7 +263,8 @@ def _triples(docs: DataFrame, seed: int, words: _Ranks, pairs: _Ranks) -> DataFr
     def cells(run):
         ranked = (run[3] >= 0) & (run[2] < most)
         pair, last, n = count_cells(run[3][ranked], run[2][ranked])
-        yield pairs.ranked[pair] // most, pairs.ranked[pair] % most, last, n
+        pair = pairs.ranked()[pair]
+        yield pair // most, pair % most, last, n
         yield count_coordinates(*[column[~ranked] for column in run[:3]])
 
     return _counted(docs, seed, 3, words, cells, keep)
@@ -279,12 +292,12 @@ def collocations(
     seed = seed[0] if seed else 0
     totals = dictionary.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent = written(dictionary.where(F.col("n") >= min_count).drop("seed"), "frequent-words")
-    words = _rank(frequent, F.col("key"), word_ids, "key")
+    words = _rank(frequent, F.col("key"), word_ids)
     known = written(frequent.mapInArrow(_with_ids(words), "w long, lang string, word string, n long"), "word-ids")
     pairs = written(_pairs(rows, seed, words).where(F.col("n") >= min_count), "pairs")
     coded = pairs.where((F.col("w1") < word_ids) & (F.col("w2") < word_ids))
     codes = coded.select((F.col("w1") * word_ids + F.col("w2")).alias("code"), "n")
-    pair_ranks = _rank(codes, F.col("code"), pair_ids, "code")
+    pair_ranks = _rank(codes, F.col("code"), pair_ids)
     triples = written(_triples(rows, seed, words, pair_ranks).where(F.col("n") >= min_count), "triples")
     kept = _candidates(pairs, triples, known)
     named = written(_named(kept, known, totals), "phrases")

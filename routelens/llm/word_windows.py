@@ -18,8 +18,8 @@ WINDOW = 20
 GRAM = 3
 #: Windows that one stretch holds at most: their verdicts fit one 64-bit word, and periodic texts repeat their stretches.
 STRETCH = 64
-#: Bytes of text, and words, that are worked on at once.
-CHUNK_BYTES, CHUNK_WORDS = 4 << 20, 1 << 20
+#: Bytes of text, and words, that are worked on at once; a byte takes about 80 bytes of memory meanwhile.
+CHUNK_BYTES, CHUNK_WORDS = 1 << 20, 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _IS_BLANK = np.zeros(256, bool)
@@ -35,7 +35,7 @@ class _Powers:
 
     def upto(self, n: int) -> np.ndarray:
         if len(self._known) < n:
-            steps = np.full(max(n, 2 * len(self._known)), self._base)
+            steps = np.full(max(n, len(self._known) + (1 << 16)), self._base)
             steps[0] = 1
             self._known = np.cumprod(steps)
         return self._known[:n]
