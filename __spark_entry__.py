@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oracle_queries import oracle_queries
 from routelens.operators import activity, alerts, errors, metrics, sessions
-from routelens.plans import reports, views
+from routelens.plans import reports, table_reports, views
 from routelens.schemas import SESSION_METRICS
 from routelens.session import SESSION_CONFS
 from routelens.sources import decode, fixture, replay
-from routelens.streaming import job, sinks, tables
+from routelens.streaming import folding, job, sinks, tables
 from routelens.streaming.views import read_view, start_view
 
 try:  # the operators for training data may be left out of an installation
@@ -39,6 +39,9 @@ WATERMARK = "5 seconds"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+AS_OF = datetime(2024, 1, 1, 1, 30, tzinfo=timezone.utc)
+
+
 def _as_of():
     return F.lit("2024-01-01 01:30:00").cast("timestamp")
 
@@ -193,6 +196,46 @@ def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SESSION_METRICS).parquet(f"{folder}/sessions")
 
 
+def _result_tables(spark: SparkSession, sf_dir: str, *wanted: tables.ResultTable) -> str:
+    """The wanted result tables from the whole table, the minute tables in three micro-batches."""
+    database = _database(spark, _scratch(spark))
+    tables.ensure_tables(spark, database)
+    logs, now = _logs(spark, sf_dir).drop("event_id"), F.current_timestamp()
+    if tables.ERROR_EVENTS_TABLE in wanted:
+        rows = tables.ERROR_EVENTS_TABLE.rows(errors.error_events(logs).withColumn("processing_time", now))
+        rows.write.insertInto(f"`{database}`.`{tables.ERROR_EVENTS_TABLE.name}`")
+    if tables.ROUTE_METRICS_5M in wanted:
+        rows = metrics.route_metrics_5m(logs).withColumn("processing_time", now)
+        sinks.append_batch(rows, database, tables.ROUTE_METRICS_5M, 0, "q")
+    minutes = metrics.route_metrics_1m(logs)
+    for batch in range(3):
+        part = minutes.where(F.minute("window_start") % 3 == batch)
+        if tables.ROUTE_METRICS_1M in wanted:
+            sinks.append_batch(part.withColumn("processing_time", now), database, tables.ROUTE_METRICS_1M, batch, "q")
+        if tables.LATENCY_ALERTS_TABLE in wanted:
+            alerted = alerts.latency_alerts(part, 500).withColumn("alert_time", now)
+            sinks.append_batch(alerted, database, tables.LATENCY_ALERTS_TABLE, batch, "q")
+    return database
+
+
+def _folded_metrics_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minute table with its days folded twice: a part is repeated and another one comes late in between."""
+    table = tables.ROUTE_METRICS_1M
+    database = _result_tables(spark, sf_dir, table)
+    folding.fold_closed_days(spark, database, [table], before=date(2100, 1, 1))
+    late = metrics.route_metrics_1m(_logs(spark, sf_dir).drop("event_id")).where(F.minute("window_start") % 3 == 1)
+    late = late.withColumn("processing_time", F.current_timestamp())
+    sinks.append_batch(late, database, table, 1, "q")
+    sinks.append_batch(late.withColumn("http_route", F.concat("http_route", F.lit(" (late)"))), database, table, 7, "q")
+    folding.fold_closed_days(spark, database, [table], before=date(2100, 1, 1))
+    folding.drop_folded(spark, database, [table], now=datetime.now(timezone.utc) + timedelta(days=2))
+    return tables.read_table(spark, database, table).drop("processing_time")
+
+
+def _table_report(table: tables.ResultTable, report: Callable[[SparkSession, str], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(spark, _result_tables(spark, sf_dir, table))
+
+
 def _stream_view(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = _scratch(spark)
@@ -251,6 +294,28 @@ QUERIES: dict[str, Query] = {
         decode.decode_messages(fixture.messages(spark, sf_dir)), F.lit("2024-01-01 00:20:00").cast("timestamp")
     ),
     "upsert_route_metrics": _upserted,
+    "folded_route_metrics_1m": _folded_metrics_1m,
+    "table_route_rate_last_hour": _table_report(
+        tables.ROUTE_METRICS_1M, lambda spark, database: table_reports.route_rate_last_hour(spark, database, AS_OF)
+    ),
+    "table_recent_alerts": _table_report(
+        tables.LATENCY_ALERTS_TABLE,
+        lambda spark, database: table_reports.recent_alerts(spark, database, AS_OF).drop("alert_time"),
+    ),
+    "table_error_trend_hourly": _table_report(
+        tables.ROUTE_METRICS_1M, lambda spark, database: table_reports.error_trend_hourly(spark, database, until=AS_OF)
+    ),
+    "table_error_rate_trend": _table_report(
+        tables.ROUTE_METRICS_5M, lambda spark, database: table_reports.error_rate_trend(spark, database, since=AS_OF - timedelta(minutes=45))
+    ),
+    "table_latest_metrics": _table_report(
+        tables.ROUTE_METRICS_1M,
+        lambda spark, database: table_reports.latest_metrics(spark, database).drop("processing_time"),
+    ),
+    "table_latest_errors": _table_report(
+        tables.ERROR_EVENTS_TABLE,
+        lambda spark, database: table_reports.latest_errors(spark, database).drop("processing_time"),
+    ),
     "stream_route_metrics_1m": _stream_metrics_1m,
     "stream_route_metrics_5m": _stream_metrics_5m,
     "stream_error_events": _stream_errors,

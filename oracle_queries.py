@@ -236,6 +236,9 @@ def _with(*parts: str, select: str, doubles: str = "") -> str:
     return f"WITH {', '.join((LOGS, *parts))}, result AS ({select}) SELECT {columns} FROM result"
 
 
+AS_OF = "TIMESTAMP '2024-01-01 01:30:00'"
+
+
 def oracle_queries() -> dict[str, str]:
     decoded = f"decoded AS ({_decoded('messages')})"
     views = {
@@ -319,6 +322,43 @@ def oracle_queries() -> dict[str, str]:
             select="SELECT * FROM decoded WHERE event_time >= TIMESTAMP '2024-01-01 00:20:00'",
         ),
         "upsert_route_metrics": _with(METRICS_1M, select="SELECT * FROM m1", doubles=METRIC_DOUBLES),
+        "folded_route_metrics_1m": _with(
+            METRICS_1M,
+            select="""SELECT * FROM m1 UNION ALL SELECT * REPLACE (http_route || ' (late)' AS http_route) FROM m1
+                WHERE minute(window_start) % 3 = 1""",
+            doubles=METRIC_DOUBLES,
+        ),
+        "table_route_rate_last_hour": _with(
+            METRICS_1M,
+            select=f"""SELECT http_route, CAST(sum(request_count) AS BIGINT) AS total_requests,
+                avg(avg_latency_ms) AS avg_latency, max(p99_latency_ms) AS max_p99 FROM m1
+                WHERE window_end > {AS_OF} - INTERVAL 1 HOUR GROUP BY http_route""",
+            doubles="avg_latency max_p99",
+        ),
+        "table_recent_alerts": _with(
+            METRICS_1M, ALERTS, select=f"SELECT * FROM alerts WHERE window_end > {AS_OF} - INTERVAL 1 HOUR", doubles=ALERT_DOUBLES),
+        "table_error_trend_hourly": _with(
+            METRICS_1M,
+            select=f"""SELECT date_trunc('hour', window_end) AS hour, http_route,
+                CAST(sum(client_error_count + server_error_count) AS BIGINT) AS total_errors
+                FROM m1 WHERE window_end <= {AS_OF} GROUP BY 1, 2""",
+        ),
+        "table_error_rate_trend": _with(
+            METRICS_5M,
+            select=f"""SELECT http_route, window_end, error_rate_pct FROM m5
+                WHERE error_rate_pct > 5 AND window_end > {AS_OF} - INTERVAL 45 MINUTE""",
+            doubles="error_rate_pct",
+        ),
+        "table_latest_metrics": _with(
+            METRICS_1M,
+            select="SELECT * FROM m1 ORDER BY window_end DESC, http_route ASC NULLS FIRST LIMIT 20",
+            doubles=METRIC_DOUBLES,
+        ),
+        "table_latest_errors": _with(
+            select=f"""SELECT * FROM ({ERROR_EVENTS}) ORDER BY event_time DESC, http_route NULLS FIRST, hostname NULLS FIRST,
+                method NULLS FIRST, path NULLS FIRST, status_code, error_category, response_time_ms NULLS FIRST,
+                upstream_cluster NULLS FIRST, client_ip NULLS FIRST LIMIT 20""",
+        ),
         "stream_route_metrics_1m": _with(
             METRICS_1M, select=f"SELECT * FROM m1 WHERE window_end <= {CLOSED}", doubles=METRIC_DOUBLES),
         "stream_route_metrics_5m": _with(

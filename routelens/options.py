@@ -86,6 +86,7 @@ class JobOptions:
     available_now: bool = False
     checkpoint_dir: str | None = None
     catalog: str | None = None
+    fold_closed_days: bool = False
     confs: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -114,6 +115,7 @@ class JobOptions:
             available_now=given.get("available.now", "false").lower() == "true",
             checkpoint_dir=given.get("checkpoint.dir"),
             catalog=given.get("catalog.name"),
+            fold_closed_days=given.get("fold.closed.days", "false").lower() == "true",
             confs=confs,
         )
 

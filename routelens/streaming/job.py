@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,12 @@ from routelens.operators.metrics import route_metrics_1m, route_metrics_5m
 from routelens.options import JobOptions
 from routelens.session import build_session
 from routelens.sources.reader import read_access_logs_stream
+from routelens.streaming.folding import drop_folded, fold_closed_days
 from routelens.streaming.sinks import Trigger, append_batch, append_stream, query_of
 from routelens.streaming.tables import (
     ERROR_EVENTS_TABLE,
     LATENCY_ALERTS_TABLE,
+    RESULT_TABLES,
     ROUTE_METRICS_1M,
     ROUTE_METRICS_5M,
     ensure_database,
@@ -114,11 +117,19 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     )
 
 
+def fold_past_days(spark: SparkSession, database: str) -> None:
+    """Fold the days before today of the result tables, and drop what earlier folds have replaced."""
+    fold_closed_days(spark, database, RESULT_TABLES, before=datetime.now(timezone.utc).date())
+    drop_folded(spark, database, RESULT_TABLES)
+
+
 def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) -> list[StreamingQuery]:
     """Create what is missing and start the three queries on a stream of access logs."""
     root = checkpoint_root(spark, options.checkpoint_dir)
     ensure_database(spark, options.database, options.catalog)
     ensure_tables(spark, options.database, options.table_format)
+    if options.fold_closed_days:
+        fold_past_days(spark, options.database)
     trigger: Trigger = (
         {"availableNow": True} if options.available_now else {"processingTime": options.trigger_interval}
     )

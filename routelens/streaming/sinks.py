@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from routelens.streaming.tables import ResultTable
+if TYPE_CHECKING:
+    from routelens.streaming.tables import ResultTable
 
 # Formats whose tables take row-level changes.
 MERGE_FORMATS = ("iceberg", "delta")

@@ -8,13 +8,14 @@ number, which make a repeated batch replace itself and nothing else.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routelens.schemas import ERROR_EVENTS, LATENCY_ALERTS, ROUTE_METRICS
+from routelens.streaming.folding import current_rows
 
 
 @dataclass(frozen=True)
@@ -68,12 +69,16 @@ def ensure_tables(spark: SparkSession, database: str, table_format: str = "parqu
 def read_table(
     spark: SparkSession, database: str, table: ResultTable, since: datetime | None = None, until: datetime | None = None
 ) -> DataFrame:
-    """A result table as of now, with its own columns only.
+    """A result table as of now, with its own columns only. Of folded days the newest generation is read.
 
     ``since`` (inclusive) and ``until`` (exclusive) bound the time that the table is dated by. Partitions of other days are not read.
     """
-    spark.catalog.refreshTable(f"`{database}`.`{table.name}`")
-    rows = spark.table(f"`{database}`.`{table.name}`")
+    name = f"`{database}`.`{table.name}`"
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name)
+    if table.per_batch:
+        days = [None if bound is None else bound.astimezone(timezone.utc).date() for bound in (since, until)]
+        rows = current_rows(rows, name, table.date_column, *days)
     if since is not None:
         rows = rows.where((F.col(table.date_of) >= F.lit(since)) & (F.col(table.date_column) >= F.to_date(F.lit(since))))
     if until is not None:

@@ -18,8 +18,8 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data"
 QUERIES = {name: query for name, query in entry.queries().items() if name in entry.QUERIES}
 STREAMS = [q for q in QUERIES if q.startswith("stream_")]
 BATCH = [q for q in QUERIES if q not in STREAMS]
-# Reads back a table it has written, so its plan is a scan.
-PLANNED = [q for q in BATCH if q != "upsert_route_metrics"]
+# These read back a table that they have written, so their plans are scans.
+PLANNED = [q for q in BATCH if q != "upsert_route_metrics" and not q.startswith(("table_", "folded_"))]
 
 
 @pytest.fixture(scope="module")
