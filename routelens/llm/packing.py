@@ -10,22 +10,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.bpe_ids import REMEMBERED, SPECIAL, PieceEncoder, text_batches, tokenizer_path
-from routelens.llm.chunks import Pieces
+from routelens.llm.bpe_ids import REMEMBERED, SPECIAL, PieceEncoder, tokenizer_path
 from routelens.llm.common import per_worker, whole_text, written
+from routelens.llm.piece_ids import PieceIds
 
 CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: Pieces that one task packs.
 PARTITION_PIECES = 100_000
+#: Texts that are turned into ids at once.
+BATCH_ROWS = 500
 ROUNDS = 4
 PIECE_COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
 
 
 @per_worker
-def _ids(path: str) -> Pieces:
-    return Pieces(PieceEncoder(path), SPECIAL, REMEMBERED)
+def _ids(path: str) -> PieceIds:
+    return PieceIds(PieceEncoder(path), SPECIAL, REMEMBERED)
 
 
 def cut_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
@@ -35,22 +37,27 @@ def cut_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | N
     first of which may be shorter. A null or empty text is the end id alone. Rows with the same id are cut one by one.
     """
     path = vocabulary or tokenizer_path(VOCABULARY)
-    end = np.array([END_ID], "<u4").tobytes()
-
     def cut(batches):
-        for batch, texts in text_batches(batches):
-            out: list[list] = [[], [], [], [], []]
-            for doc_id, found in zip(batch.column(0).to_pylist(), _ids(path).of(texts), strict=True):
-                data = b"".join([*found, end])
-                total = len(data) // 4
-                at, piece = 0, 0
-                while at < total:
-                    size = (total - at) % capacity or capacity
-                    for values, value in zip(out, (doc_id, piece, at, size, zlib.crc32(data[4 * at : 4 * (at + size)])), strict=True):
-                        values.append(value)
-                    at, piece = at + size, piece + 1
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=list(PIECE_COLUMNS))
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                yield pieces(whole.slice(at, BATCH_ROWS))
+
+    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, firsts = _ids(path).of(batch.column(1))
+        ids = np.insert(ids, firsts[1:], np.uint32(END_ID)).astype("<u4", copy=False)
+        firsts = firsts + np.arange(len(firsts))
+        total = np.diff(firsts)
+        count = -(-total // capacity)
+        row = np.repeat(np.arange(len(total)), count)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        head = total - (count - 1) * capacity  # the first piece, which may be shorter
+        start = np.where(piece > 0, head[row] + (piece - 1) * capacity, 0)
+        length = np.where(piece > 0, capacity, head[row])
+        data = memoryview(ids).cast("B")
+        begin = 4 * (firsts[row] + start)
+        sums = [zlib.crc32(data[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
+        columns = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(sums, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=list(PIECE_COLUMNS))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -44,6 +44,11 @@ class _Powers:
 _UP, _DOWN = _Powers(_BASE), _Powers(_INVERSE)
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each byte, to be summed up by ``prefix_sums``."""
+    return _BYTE_VALUES[data]
+
+
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Sums of ``values[i] * base**i`` modulo 2**64, one more than there are values."""
     sums = np.zeros(len(values) + 1, np.uint64)
