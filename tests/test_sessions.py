@@ -1,9 +1,11 @@
 import random
+import re
 from collections import defaultdict
 from datetime import timedelta
 
 import pytest
 
+from routelens.operators import sessions
 from routelens.operators.sessions import session_metrics
 from routelens.schemas import SESSION_METRICS
 from tests.conftest import NOON, collect, log
@@ -82,3 +84,32 @@ def test_before_1970(logs_of):
     frame = logs_of(*[log(event_time=epoch + timedelta(seconds=s)) for s in offsets])
     found = collect(session_metrics(frame, GAP), "session_start")
     assert [r["request_count"] for r in found] == [1, 4, 1]
+
+
+@pytest.mark.parametrize("bits", [(1, 1), (2, 1), (1, 3), (3, 60)])
+@pytest.mark.parametrize("gap_ms", [1, 20_000])
+def test_blocks_of_any_size_give_the_same_sessions(logs_of, monkeypatch, gap_ms, bits):
+    rng = random.Random(gap_ms)
+    rows, at = [], -300.0
+    for _ in range(600):  # long chains without silence, and silences of less and more than a block
+        at += rng.choice([0, 0.4, 1, 1, 1.001, 3, 9, 40]) if rng.random() < 0.3 else rng.choice([0, 0.5, 0.9, 1])
+        rows.append(log(round(at * gap_ms / 1000, 3), client_ip=rng.choice(["hot", "hot", "hot", None]), path=f"/{rng.randrange(3)}"))
+    frame, gap = logs_of(*rows), timedelta(milliseconds=gap_ms)
+    expected = collect(session_metrics(frame, gap), "client_ip", "session_start")
+    if bits == (3, 60):
+        monkeypatch.setattr(sessions, "SLICE_BITS", 3)
+    else:
+        monkeypatch.setattr(sessions, "SLICE_BITS", bits[0])
+        monkeypatch.setattr(sessions, "BLOCK_BITS", 60 if gap_ms == 1 else 20 + bits[1])
+    assert collect(session_metrics(frame, gap), "client_ip", "session_start") == expected
+    assert len(expected) > 20 and sum(r["request_count"] for r in expected) == 600
+
+
+def test_the_source_is_read_once_and_no_window_spans_a_client(spark, logs_of, tmp_path):
+    logs_of(*[log(i * 7, client_ip=f"c{i % 3}") for i in range(200)]).write.parquet(str(tmp_path / "logs"))
+    found = session_metrics(spark.read.parquet(str(tmp_path / "logs")), GAP)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    windows = [line.split("windowspecdefinition(")[1] for line in plan.splitlines() if " Window " in line]
+    assert windows and all(re.match(r"client_ip#\d+, block#\d+L", spec) for spec in windows)  # by block, or one row a block in order
