@@ -34,6 +34,8 @@ WORD_IDS, PAIR_IDS = 1 << 20, 1 << 22
 TILE_SIDE, CELLS_A_PAIR = 512, 8
 #: Pairs or triples that a task counts at once, distinct words that it holds, and rows that it hands over together.
 GATHERED, GATHERED_WORDS, HANDED = 500_000, 300_000, 50_000
+#: Parts of a language that are ranked by themselves first.
+RANKED_PARTS = 64
 _KEY_BIT = np.uint64(1 << 62)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -301,8 +303,11 @@ def collocations(
     triples = written(_triples(rows, seed, words, pair_ranks).where(F.col("n") >= min_count), "triples")
     kept = _candidates(pairs, triples, known)
     named = written(_named(kept, known, totals), "phrases")
-    place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)")
-    ranked = named.withColumn("rank", place).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    parts = named.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
+    first = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    parts = parts.withColumn("rank", first).where(F.col("rank") <= top)  # so that no task ranks all of a language
+    ranked = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
