@@ -76,11 +76,11 @@ def read_table(
     name = f"`{database}`.`{table.name}`"
     spark.catalog.refreshTable(name)
     rows = spark.table(name)
-    if table.per_batch:
-        days = [None if bound is None else bound.astimezone(timezone.utc).date() for bound in (since, until)]
-        rows = current_rows(rows, name, table.date_column, *days)
     if since is not None:
         rows = rows.where((F.col(table.date_of) >= F.lit(since)) & (F.col(table.date_column) >= F.to_date(F.lit(since))))
     if until is not None:
         rows = rows.where((F.col(table.date_of) < F.lit(until)) & (F.col(table.date_column) <= F.to_date(F.lit(until))))
+    if table.per_batch:
+        days = [None if bound is None else bound.astimezone(timezone.utc).date() for bound in (since, until)]
+        rows = current_rows(rows, name, table.date_column, *days)
     return rows.select(*table.schema.fieldNames())
