@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Space and the five ASCII control characters that count as white space.
 BLANKS = " \t\n\u000b\f\r"
@@ -60,6 +61,18 @@ def in_share(share, *keys: str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(2**40)) < F.lit(float(2**40)) * share
 
 
+def first_by_hash(rows: DataFrame, group: str, key: str, most: Column) -> DataFrame:
+    """At most ``most`` rows of each group of a frame with distinct keys, chosen by a hash of ``key``.
+
+    ``__n`` holds the group's number of keys. A share by the hash leaves some more than wanted, and only those are ranked,
+    so no task ever sorts a whole group.
+    """
+    spare = most + 8 * F.sqrt(most) + 16
+    drawn = rows.where(in_share(F.least(F.lit(1.0), spare / F.greatest(F.col("__n"), F.lit(1))), key))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.pmod(F.xxhash64(key), F.lit(2**40)), key))
+    return drawn.withColumn("__place", place).where(F.col("__place") <= F.greatest(most, F.lit(1)))
+
+
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """``(vertex, root)`` for every vertex of the undirected ``edges(a, b)``; root is the least vertex of its class.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.common import fold_of, in_share, whole_text, written
+from routelens.llm.common import first_by_hash, fold_of, whole_text, written
 
 HIDDEN = 8
 #: Bytes that the network reads in one run; each run starts from a zero state, in both directions.
@@ -211,22 +211,22 @@ def _finished(names: tuple[str, ...], w: dict) -> LanguageModel:
 
 
 def train(docs: DataFrame, folds: int = 4, held_out: int = 2) -> LanguageModel:
-    """Fits on about ``TRAINING_DOCUMENTS`` texts of each language outside the held-out fold, or all if there are fewer.
+    """Fits on ``TRAINING_DOCUMENTS`` different texts of each language outside the held-out fold, or all if there are fewer.
 
-    A hash chooses them among all texts; only these reach the driver, of longer texts a stretch of ``TRAINING_CHARS`` at
-    a place chosen by a hash. Every language is learned: with more than ``LANGUAGES`` each has the fewer texts, and the
-    text with the least hash is always among them.
+    A hash chooses them among all texts, equal ones of a language counting once; only these reach the driver, of longer
+    texts a stretch of ``TRAINING_CHARS`` at a place chosen by the hash. Every language is learned: with more than
+    ``LANGUAGES`` each has the fewer texts, but at least one.
     """
     rows = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    rows = rows.where(fold_of(F.col("doc_id"), folds) != held_out).withColumn("__hash", F.xxhash64("doc_id", "text"))
-    counts = written(rows.groupBy("lang").agg(F.count("*").alias("__n"), F.min("__hash").alias("__least")), "languages")
-    of_each = TRAINING_DOCUMENTS * min(1.0, LANGUAGES / max(counts.count(), 1))
-    chosen = rows.join(counts, "lang").where(
-        in_share(F.least(F.lit(1.0), F.lit(of_each) / F.col("__n")), "doc_id", "text") | (F.col("__hash") == F.col("__least"))
-    )
+    rows = rows.where(fold_of(F.col("doc_id"), folds) != held_out).withColumn("__hash", F.xxhash64("lang", "text"))
+    distinct = written(rows.select("lang", "__hash").distinct(), "training-texts")
+    counts = distinct.groupBy("lang").agg(F.count("*").alias("__n"))
+    of_each = max(1, int(TRAINING_DOCUMENTS * min(1.0, LANGUAGES / max(counts.count(), 1))))
+    chosen = written(first_by_hash(distinct.join(counts, "lang"), "lang", "__hash", F.lit(of_each)).select("lang", "__hash"), "chosen")
     spare = F.greatest(F.length("text") - TRAINING_CHARS, F.lit(0))
     stretch = F.substring("text", (F.pmod(F.col("__hash"), spare + 1) + 1).cast("int"), F.lit(TRAINING_CHARS))
-    learned = sorted((row.lang, row.text) for row in chosen.select("lang", stretch.alias("text")).collect())
+    chosen = rows.join(chosen, ["lang", "__hash"]).select("lang", "__hash", stretch.alias("text")).dropDuplicates(["lang", "__hash"])
+    learned = sorted((row.lang, row.text) for row in chosen.collect())
     return fit([text for _, text in learned], [lang for lang, _ in learned])
 
 

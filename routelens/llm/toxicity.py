@@ -21,13 +21,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from routelens.llm.common import fold_of, in_share, per_worker, whole_text, written
+from routelens.llm.common import first_by_hash, fold_of, per_worker, whole_text, written
 
 WINDOW, STRIDE = 48, 32
-#: Labelled documents that the model is fitted on, by class, and the characters that all of them have at most. Where texts are
-#: long, fewer are chosen; none is left out for its length.
-TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 6_000, 1: 2_000}, 200_000_000
+#: Labelled documents that the model is fitted on, by class, and the characters that all of a class have at most. Where texts are
+#: long, fewer are chosen; one with more than a tenth of its class's characters is never among them.
+TRAINING_DOCUMENTS, TRAINING_CHARS = {0: 6_000, 1: 2_000}, {0: 60_000_000, 1: 20_000_000}
 #: Gains from here on count alike.
 MOST_GAIN = 12
 LEAST_RATIO = 24.0
@@ -229,23 +230,32 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityModel:
-    """Fits on about ``TRAINING_DOCUMENTS`` labelled rows of each class outside the held-out fold, or all if there are fewer.
+    """Fits on ``TRAINING_DOCUMENTS`` different labelled texts of each class outside the held-out fold, or all if there are fewer.
 
-    A hash of the id chooses them among all labelled rows with a text, fewer if all together would have more than
-    ``TRAINING_CHARS`` characters. They reach the driver whole. The order in which rows arrive changes nothing.
+    A hash of the text chooses them among all, equal texts counting once, fewer where together they would have more than
+    ``TRAINING_CHARS`` characters. They reach the driver whole. Ids and texts with contradicting labels teach nothing.
+    The order in which rows arrive changes nothing.
     """
-    known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    known = known.where(fold_of(F.col("doc_id"), folds) != held_out)
-    texts = docs.select("doc_id", "text").where(F.length("text") > 0)
-    sizes = texts.select("doc_id", F.length("text").cast("long").alias("chars")).join(known, "doc_id")
-    counts = {r.toxic: r for r in sizes.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()}
-    share = F.lit(0.0)
+    known = labels.where(F.col("toxic").isin(0, 1)).where(fold_of(F.col("doc_id"), folds) != held_out)
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__most")).where("toxic = __most").drop("__most")
+    texts = docs.select("doc_id", "text").where(F.length("text") > 0).withColumn("__hash", F.xxhash64("text"))
+    sized = texts.select("doc_id", "__hash", F.length("text").cast("long").alias("__chars")).join(known, "doc_id")
+    different = sized.groupBy("__hash").agg(
+        F.min("doc_id").alias("doc_id"), F.max("__chars").alias("__chars"), F.min("toxic").alias("toxic"), F.max("toxic").alias("__most")
+    )
+    budget = F.when(F.col("toxic") == 1, TRAINING_CHARS[1]).otherwise(TRAINING_CHARS[0])
+    different = different.where("toxic = __most").where(F.col("__chars") <= budget / 10).drop("__most")
+    different = written(different, "labelled")
+    counts = {r.toxic: r for r in different.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("__chars").alias("chars")).collect()}
+    total, most = F.lit(0), F.lit(0)
     for toxic, row in counts.items():
-        documents = TRAINING_DOCUMENTS[toxic]
-        chars = TRAINING_CHARS * documents / sum(TRAINING_DOCUMENTS.values())
-        share = F.when(F.col("toxic") == toxic, min(1.0, documents / row.n, chars / row.chars)).otherwise(share)
-    chosen = written(known.where(in_share(share, "doc_id")), "labelled")
-    rows = texts.join(chosen, "doc_id")
+        documents = min(TRAINING_DOCUMENTS[toxic], row.n, max(1, row.n * TRAINING_CHARS[toxic] // row.chars))
+        total = F.when(F.col("toxic") == toxic, row.n).otherwise(total)
+        most = F.when(F.col("toxic") == toxic, documents).otherwise(most)
+    drawn = first_by_hash(different.withColumn("__n", total), "toxic", "__hash", most)
+    so_far = F.sum("__chars").over(Window.partitionBy("toxic").orderBy("__place"))
+    drawn = written(drawn.withColumn("__chars_so_far", so_far).where(F.col("__chars_so_far") <= budget).select("doc_id", "__hash", "toxic"), "drawn")
+    rows = texts.join(drawn, ["doc_id", "__hash"]).dropDuplicates(["__hash"])
     found: dict[int, list[str]] = {0: [], 1: []}
     for row in rows.select("toxic", "text").collect():
         found[row.toxic].append(row.text)
