@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 import numpy as np
-import pyarrow as pa
 
 SPECIAL = "<|endoftext|>"
 #: Pieces that a worker remembers, about 150 bytes each.
@@ -63,11 +62,3 @@ class PieceEncoder:
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-
-
-def text_batches(batches, rows: int = 500):
-    """``(record batch, its texts)`` by at most ``rows`` rows; null texts are empty. Column 1 is the text."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, rows):
-            batch: pa.RecordBatch = whole.slice(at, rows)
-            yield batch, [text or "" for text in batch.column(1).to_pylist()]

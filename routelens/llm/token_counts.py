@@ -5,16 +5,20 @@ from __future__ import annotations
 import heapq
 import json
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routelens.llm.bpe_ids import REMEMBERED, SPECIAL, text_batches, tokenizer_path
-from routelens.llm.chunks import Pieces
+from routelens.llm.bpe_ids import REMEMBERED, SPECIAL, tokenizer_path
 from routelens.llm.common import per_worker, whole_text
+from routelens.llm.piece_ids import SHORT, PieceIds
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+#: Texts that are counted at once.
+BATCH_ROWS = 500
 
 
 class MergeCounter:
@@ -22,10 +26,10 @@ class MergeCounter:
 
     A pretoken starts as one symbol for each byte. The adjacent pair of lowest rank, leftmost among
     equals, is merged until none has a rank. The count is the initial symbols less the merges. A
-    long pretoken takes n log n steps.
+    long pretoken takes n log n steps. Only counts of short pretokens are remembered, at most ``most`` of them.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = REMEMBERED):
         import public_tokenizers
         import regex
 
@@ -42,11 +46,17 @@ class MergeCounter:
             self._made.append(numbers[left + right])
         self._pretokens = regex.compile(public_tokenizers.PATTERN).findall
         self._known: dict[str, int] = {}
+        self._most = most
 
-    def __call__(self, pieces: list[str]) -> list[int]:
-        if len(self._known) > REMEMBERED:
+    @property
+    def held_characters(self) -> int:
+        return sum(map(len, self._known))
+
+    def __call__(self, pieces: list[str]) -> list[bytes]:
+        """Each piece's count as one little-endian unsigned 32-bit number."""
+        if len(self._known) > self._most:
             self._known.clear()
-        return [self._piece(piece) for piece in pieces]
+        return [self._piece(piece).to_bytes(4, "little") for piece in pieces]
 
     def _piece(self, piece: str) -> int:
         parts, total = piece.split(SPECIAL), -1
@@ -55,7 +65,9 @@ class MergeCounter:
             for token in (part,) if part[1:].isalpha() and part[0] == " " else self._pretokens(part):
                 count = self._known.get(token)
                 if count is None:
-                    count = self._known[token] = self._pretoken(token.encode())
+                    count = self._pretoken(token.encode())
+                    if len(token) <= SHORT:
+                        self._known[token] = count
                 total += count
         return total
 
@@ -101,26 +113,34 @@ def _byte_characters() -> list[str]:
 
 
 @per_worker
-def _counts(path: str) -> Pieces:
-    return Pieces(MergeCounter(path), SPECIAL, REMEMBERED)
+def _counts(path: str) -> PieceIds:
+    """Pieces of texts with one number each: how many tokens they have."""
+    return PieceIds(MergeCounter(path), SPECIAL, REMEMBERED)
+
+
+def count_tokens(counts: PieceIds, texts: pa.Array) -> np.ndarray:
+    """The tokens of each text: the sum over its pieces."""
+    found, firsts = counts.of(texts)
+    sums = np.concatenate([[0], np.cumsum(found, dtype=np.int64)])
+    return sums[firsts[1:]] - sums[firsts[:-1]]
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = TOKEN_LIMIT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row of ``docs(doc_id, text)``; no shuffle.
 
     A null or empty text has 0 tokens. Rows with the same id are counted one by one; other columns are
-    ignored. The special token's string inside a text is one token, as the library has it.
+    ignored. The special token's string inside a text is one token, as the library has it. A worker remembers counts of
+    short pieces only, so its memory does not grow with the texts.
     """
     path = vocabulary or tokenizer_path(VOCABULARY)
 
     def count(batches):
-        for batch, texts in text_batches(batches):
-            totals = [sum(found) for found in _counts(path).of(texts)]
-            sizes = [len(text.encode()) for text in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())],
-                names=["doc_id", "n_bytes", "n_tokens"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                ids, texts = whole.slice(at, BATCH_ROWS).columns
+                totals = pa.array(count_tokens(_counts(path), texts), pa.int64())
+                sizes = pc.binary_length(texts).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, sizes, totals], names=["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
     counted = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")

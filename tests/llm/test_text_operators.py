@@ -4,13 +4,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from routelens.llm import bpe_ids, language_id, quality, token_counts, toxicity
-from routelens.llm.chunks import Pieces
+from routelens.llm.piece_ids import PieceIds
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -31,18 +32,24 @@ def tokenizer():
 
 def test_merges_count_what_the_library_counts(tokenizer):
     texts = ODD + _random_texts(400)
-    for size in (10, 10**6):  # remembered pieces change nothing
-        pieces = Pieces(token_counts.MergeCounter(PATH), bpe_ids.SPECIAL, size)
-        for at in range(0, len(texts), 50):
-            counts = [sum(found) for found in pieces.of(texts[at : at + 50])]
-            assert counts == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts[at : at + 50]]
-
-
-def test_pieces_give_the_ids_of_whole_texts(tokenizer):
-    texts = ODD + _random_texts(400)
-    found = Pieces(bpe_ids.PieceEncoder(PATH), bpe_ids.SPECIAL, 10**6).of(texts)
-    for text, pieces in zip(texts, found, strict=True):
-        assert b"".join(pieces) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    expected = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    for most in (10, 10**6):  # remembered pieces change nothing
+        counts = PieceIds(token_counts.MergeCounter(PATH, most), bpe_ids.SPECIAL, most)
+        found = [token_counts.count_tokens(counts, pa.array(texts[at : at + 50], pa.string())) for at in range(0, len(texts), 50)]
+        assert np.concatenate(found).tolist() == expected
+    assert token_counts.count_tokens(counts, pa.array([], pa.string())).tolist() == []
+
+
+def test_counting_remembers_no_whole_text():
+    counter = token_counts.MergeCounter(PATH)
+    counts = PieceIds(counter, bpe_ids.SPECIAL, 10**6)
+    rng = random.Random(6)
+    words, held = [f"w{i}" for i in range(300)], []
+    for _ in range(5):
+        texts = ["\n\n".join("  ".join(rng.choices(words, k=12)) for _ in range(30)) + "\n\n" + "é" * rng.randrange(200, 900) for _ in range(100)]
+        token_counts.count_tokens(counts, pa.array(texts, pa.string()))
+        held.append((counts.held_bytes, counter.held_characters))
+    assert held[-1][0] <= 1.05 * held[-2][0] < 100_000 and held[-1][1] <= 1.05 * held[-2][1] < 20_000
 
 
 def test_token_counts_of_a_table(documents, tokenizer):
@@ -118,6 +125,29 @@ def test_every_language_is_learned(documents):
     assert model.probabilities(["a b", ""]).shape == (2, 70)
 
 
+def test_equal_texts_are_drawn_once_and_draws_are_bounded(spark, documents, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAINING_DOCUMENTS", 20)
+    monkeypatch.setattr(toxicity, "TRAINING_DOCUMENTS", {0: 30, 1: 10})
+    monkeypatch.setattr(toxicity, "TRAINING_CHARS", {0: 1500, 1: 60_000})
+    seen = {}
+    monkeypatch.setattr(language_id, "fit", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    monkeypatch.setattr(toxicity, "fit", lambda clean, toxic: seen.update(clean=clean, toxic=toxic))
+    rows = [(7, "the same text", "xx", "web")] * 3000 + [(i, f"text {i:05}" + " word" * 15, "yy", "web") for i in range(1000)]
+    rows += [(2000, "only one", "zz", "web"), (2001, "word " * 2_000, "zz", "web"), (2002, "two labels", "zz", "web")]
+    rows += [(3000 + i, f"toxic {i % 40}", "zz", "web") for i in range(80)]
+    docs = documents(rows, extra=["toxic", "__n"])
+    language_id.train(docs, 10**6, 10**6)
+    assert {k: seen["langs"].count(k) for k in set(seen["langs"])} == {"xx": 1, "yy": 20, "zz": 20}
+    assert len(set(seen["texts"])) == 41
+    labelled = [(r[0], 0) for r in rows if r[0] < 3000] + [(r[0], 1) for r in rows if r[0] >= 3000] + [(2002, 1)]
+    toxicity.train(docs, spark.createDataFrame(labelled, "doc_id long, toxic int"), 10**6, 10**6)
+    assert len(seen["toxic"]) == len(set(seen["toxic"])) == 10
+    assert 10 <= len(seen["clean"]) <= 30 and sum(map(len, seen["clean"])) <= 1500
+    assert "two labels" not in seen["clean"] + seen["toxic"] and max(map(len, seen["clean"])) <= 150
+    toxicity.train(docs, spark.createDataFrame(labelled[::-1], "doc_id long, toxic int"), 10**6, 10**6)
+    assert len(seen["toxic"]) == 10
+
+
 def test_long_texts_are_labelled_to_the_end():
     texts = _sentences("xx", 80, 1) + _sentences("yy", 80, 2)
     model = language_id.fit(texts, ["xx"] * 80 + ["yy"] * 80)
