@@ -18,7 +18,7 @@ TREES = 4
 #: Vectors that the trees are fitted on, and the share of them that a leaf holds at most.
 SAMPLE, LEAF_SHARE = 16_384, 1 / 128
 #: Share of all vectors, counted in every tree, that a query's leaves hold before the search stops.
-SEARCH_SHARE = 0.3
+SEARCH_SHARE = 0.17
 #: Vectors of one leaf that one task compares.
 BLOCK = 20_000
 
@@ -90,7 +90,10 @@ def _projection(rows: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray,
 
 
 def visited_leaves(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, budget: int) -> list[tuple[int, int]]:
-    """``(tree, leaf)`` in order of the largest margin that the query misses them by, over all trees in one queue, until they hold ``budget`` vectors."""
+    """``(tree, leaf)`` over all trees in one queue, until they hold ``budget`` vectors.
+
+    The order is the sum of the squared margins by which the query misses the cuts on the way to a leaf.
+    """
     queue = [(0.0, t, tree.root) for t, tree in enumerate(trees)]
     heapq.heapify(queue)
     found, held = [], 0
@@ -104,7 +107,7 @@ def visited_leaves(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray
         offset = float(query @ tree.normals[node] - tree.cuts[node])
         near, far = tree.children[node][::-1] if offset > 0 else tree.children[node]
         heapq.heappush(queue, (margin, t, int(near)))
-        heapq.heappush(queue, (max(margin, abs(offset)), t, int(far)))
+        heapq.heappush(queue, (margin + offset * offset, t, int(far)))
     return found
 
 
@@ -121,7 +124,9 @@ def nearest(
 
     ``score`` is the Euclidean distance in double precision; equal ones go to the smaller vec_id. Vectors that are
     null or zero or hold null or non-finite components take no part, nor do rows with a null vec_id or vectors of a length
-    other than the most frequent one. Rows with one vec_id twice are one candidate each.
+    other than the most frequent one. Rows with one vec_id twice are one candidate each. Queries of one vec_id with
+    different vectors each have ranks of their own; equal ones are one query. Only the query's own row is no candidate: another row with
+    its vec_id is.
 
     Equal vectors are one in the index, as a query and as a candidate; only their ``k + 1`` smallest ids can be
     among anyone's nearest. Every vector is in one leaf of every tree. Leaves are compared in blocks of bounded size, and only
@@ -135,7 +140,9 @@ def nearest(
     rows = rows.where(F.size("vector") == width).withColumn("key", F.unhex(F.md5(F.array_join(F.transform("vector", lambda x: (x + 0.0).cast("string")), ","))))
     rows = written(rows, "vectors")
     first = F.row_number().over(Window.partitionBy("key").orderBy("vec_id"))
-    ids = written(rows.select("key", "vec_id", first.alias("place")).where(F.col("place") <= k + 1), "ids")
+    twin = F.row_number().over(Window.partitionBy("key", "vec_id").orderBy("place"))  # among equal rows
+    ids = rows.select("key", "vec_id", first.alias("place")).where(F.col("place") <= k + 1)
+    ids = written(ids.withColumn("twin", twin), "ids")
     distinct = written(rows.groupBy("key").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks")), "distinct")
     n = distinct.count()
     sample = np.array([r.vector for r in distinct.where(in_share(min(1.0, SAMPLE / max(n, 1)), "key")).select("vector").collect()], np.float64).reshape(-1, max(width, 1))
@@ -160,12 +167,12 @@ def nearest(
     # Vectors as near as the last one are kept too: ids decide between them.
     rank = F.rank().over(Window.partitionBy("query").orderBy("score"))
     near = written(near.withColumns({"r": rank, "b": best}).where(F.col("r") <= k + 1).select("query", "key", "score"), "near")
-    options = near.join(ids.select("key", "vec_id"), "key")
+    options = near.join(ids.select("key", "vec_id", "twin"), "key")
     top = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
-    options = options.withColumn("place", top).where(F.col("place") <= k + 1).select("query", "vec_id", "score")
+    options = options.withColumn("place", top).where(F.col("place") <= k + 1).drop("place")
     asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), F.col("key").alias("query")).distinct()
-    pairs = asking.join(options, "query").where("query_id <> vec_id")
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    pairs = asking.join(options, "query").where("NOT (query_id = vec_id AND query = key AND twin = 1)")
+    order = F.row_number().over(Window.partitionBy("query_id", "query").orderBy("score", "vec_id"))
     return pairs.select("query_id", order.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 

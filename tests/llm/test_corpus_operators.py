@@ -365,6 +365,17 @@ def test_few_candidates(spark):
     assert nearest.nearest(_vectors(spark, rows).limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_queries_of_one_id_have_ranks_of_their_own(spark):
+    rows = [(100, [0.0, 1.0]), (100, [10.0, 0.0]), (100, [10.0, 0.0])] + [(i, [float(i), 0.5]) for i in range(1, 13)]
+    vectors = _vectors(spark, rows).withColumns({c: F.lit(1) for c in ("key", "vector", "asks", "tree", "query", "rank")})
+    found = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in nearest.nearest(vectors, F.col("vec_id") % 100 == 0, share=1.0).collect())
+    expected = []
+    for at in (0, 1):  # the third row is a candidate of the second, which it equals
+        near = sorted((math.dist(rows[at][1], v), j) for k, (j, v) in enumerate(rows) if k != at)[:10]
+        expected += [(100, rank, j, round(d, 9)) for rank, (d, j) in enumerate(near, 1)]
+    assert found == sorted(expected)
+
+
 def test_recall_of_the_forest(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16))
