@@ -58,8 +58,8 @@ def repetition_rates(
 def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
     """Each row as often as a Poisson variable of its source's rate says, in a random order, with ``copy`` from 1.
 
-    The variable is inverted at a uniform number hashed from the seed and doc_id, so a run can be repeated; rows
-    with the same id, or none, have the same number. A row of a source without a rate goes. The order is that of a hash
+    The variable is inverted at a uniform number hashed from the seed and doc_id, or the text where there is no id, so a run can
+    be repeated; rows with the same id have the same number. A row of a source without a rate goes. The order is that of a hash
     over all rows: rows are dealt to partitions by it and sorted in each. An input column ``copy`` is replaced.
     Sources' rates are joined by source and a salt, so that one large source meets many tasks.
     """
@@ -73,7 +73,7 @@ def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
     )
     table = written(salted.select(F.col("source").alias("__source"), "__salt", "__steps"), "rates")
     columns = [c for c in docs.columns if c != "copy"]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("__u", uniform(seed, F.col("doc_id")))
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("__u", uniform(seed, F.coalesce(F.col("doc_id").cast("string"), F.col("text"))))
     rows = rows.withColumn("__s", F.floor(F.col("__u") * 1_000_003).cast("long") % SALTS)
     same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("__s") == F.col("__salt"))
     drawn = rows.join(table, same).withColumn("__n", F.size(F.filter("__steps", lambda step: step <= F.col("__u"))))

@@ -103,7 +103,8 @@ WITH sources AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS wei
 rates AS (SELECT source, weight * ((SELECT sum(n) FROM sources) / (SELECT sum(weight) FROM sources)) / n AS rate FROM sources),
 steps AS (
   SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS step
-  FROM (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1.0)) AS p FROM rates, range(0, 60) AS numbers(k))),
+  FROM (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1.0)) AS p
+        FROM (SELECT source, rate, unnest(range(0, CAST(rate + 12 * sqrt(rate) + 41 AS BIGINT))) AS k FROM rates))),
 drawn AS (
   SELECT d.*, (concat('0x', substr(md5(concat('mix:', coalesce(doc_id::VARCHAR, ''))), 1, 13)))::BIGINT / 4503599627370496.0 AS u
   FROM documents d),
@@ -111,7 +112,7 @@ counted AS (
   SELECT doc_id, text, lang, d.source AS source, n_chars,
     (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.step <= d.u) AS n
   FROM drawn d)
-SELECT doc_id, text, lang, source, n_chars, c::INTEGER AS copy FROM counted, range(1, 61) AS copies(c) WHERE c <= n
+SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1))::INTEGER AS copy FROM counted
 """
 
 _BARE = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
