@@ -14,11 +14,11 @@ raw_logs AS (
     SELECT event_id,
         make_timestamp((1704067200000000 + (epoch_us(ts) - 1704067200000000) // 720) // 1000 * 1000) AS event_time,
         CASE WHEN event_id % 50 <> 0 THEN base_route END AS http_route,
-        ['app.example.com', 'api.example.com', 'shop.example.com'][user_id % 3 + 1] AS hostname,
-        ['GET', 'POST', 'PUT', 'DELETE'][event_id % 4 + 1] AS method,
+        ['store.routelens.test', 'search.routelens.test', 'media.routelens.test'][user_id % 3 + 1] AS hostname,
+        ['GET', 'HEAD', 'PATCH', 'OPTIONS'][event_id % 4 + 1] AS method,
         '/api/v1/' || base_route || '/' || (k % 7) AS path,
         CAST(CASE WHEN event_type = 'view' AND event_id % 40 <> 0 THEN 200
-            ELSE [200, 200, 200, 200, 200, 201, 204, 301, 400, 401, 403, 404, 500, 502, 503][k % 15 + 1] END AS INTEGER)
+            ELSE [200, 206, 504, 200, 429, 304, 200, 409, 202, 200, 501, 302, 410, 200, 422][k % 15 + 1] END AS INTEGER)
             AS status_code,
         CAST(floor(value * 4) AS BIGINT) AS response_time_ms,
         CAST(100 + event_id * 37 % 10000 AS BIGINT) AS bytes_sent,

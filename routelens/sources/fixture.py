@@ -16,7 +16,7 @@ EVENTS = struct(
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
 
-# Routes, hosts, methods and status codes of the sample traffic.
+# The sample traffic: routes by event type, and hosts, methods and status codes of our own choice.
 ROUTE_BY_EVENT = {
     "click": "catalog",
     "view": "reviews",
@@ -24,9 +24,9 @@ ROUTE_BY_EVENT = {
     "signup": "details",
     "error": "cart",
 }
-HOSTS = ("app.example.com", "api.example.com", "shop.example.com")
-METHODS = ("GET", "POST", "PUT", "DELETE")
-STATUS_CODES = (200, 200, 200, 200, 200, 201, 204, 301, 400, 401, 403, 404, 500, 502, 503)
+HOSTS = ("store.routelens.test", "search.routelens.test", "media.routelens.test")
+METHODS = ("GET", "HEAD", "PATCH", "OPTIONS")
+STATUS_CODES = (200, 206, 504, 200, 429, 304, 200, 409, 202, 200, 501, 302, 410, 200, 422)
 # The event type whose route has hardly any errors.
 RELIABLE = "view"
 BASE_MICROS = 1704067200000000

@@ -40,7 +40,7 @@ def test_hostname_traffic(logs_of):
     )
     found = collect(hostname_traffic(frame), "hostname", "window_start")
     assert [(r["hostname"], r["request_count"], r["unique_routes"]) for r in found] == [
-        ("app.example.com", 4, 2), ("app.example.com", 1, 1), ("other", 1, 1),
+        ("media.routelens.test", 4, 2), ("media.routelens.test", 1, 1), ("other", 1, 1),
     ]
 
 
