@@ -26,6 +26,7 @@ from routelens.options import JobOptions
 from routelens.session import build_session
 from routelens.sources.reader import read_access_logs_stream
 from routelens.streaming.folding import drop_folded, fold_closed_days
+from routelens.streaming.late_rows import LateRowLog
 from routelens.streaming.sinks import Trigger, append_batch, append_stream, query_of
 from routelens.streaming.tables import (
     ERROR_EVENTS_TABLE,
@@ -106,7 +107,7 @@ def write_error_events(
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows behind the watermark so far, as far back as progress is kept.
+    """Rows behind the watermark so far, as far back as progress is kept; ``late_rows`` has the counts of all runs.
 
     Rows are counted after a task has folded its part of them.
     """
@@ -156,9 +157,16 @@ def run_job(args: Sequence[str] | None = None) -> None:
     """Entry point: start the job and wait until a query ends or fails."""
     options = JobOptions.from_args(sys.argv[1:] if args is None else args)
     spark = build_session("route-analytics", options.confs)
+    late = LateRowLog(spark, f"{checkpoint_root(spark, options.checkpoint_dir)}/late_rows")
+    spark.streams.addListener(late)
     queries = start_job(spark, options)
-    if options.available_now:
+    try:
+        if options.available_now:
+            for query in queries:
+                query.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
+    finally:
         for query in queries:
-            query.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+            late.finish(query)
+        spark.streams.removeListener(late)

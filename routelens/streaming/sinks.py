@@ -139,22 +139,35 @@ def upsert_batch(
     _drop_staging(spark, staging)
 
 
+def rows_of_partitions(existing: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """The rows of ``existing`` in the partitions that ``touched`` names.
+
+    No value goes through the driver: the semi join prunes the scan while it runs. It does so
+    only for a side with a filter, hence the comparison, which holds for every partition.
+    """
+    named = touched.where(F.col(partition).cast("string") >= F.lit(""))
+    return existing.join(named, partition, "left_semi").select(*existing.columns)
+
+
 def _stage(rows: DataFrame, table: str, keys: Sequence[str], partition: str, staging: str) -> bool:
     """Write the new content of every partition ``rows`` touches; False if there is none."""
-    existing = rows.sparkSession.table(table)
+    spark = rows.sparkSession
+    existing = spark.table(table)
     # Used three times below; without this a stream would run its micro-batch three times.
     new = rows.select(*existing.columns).persist()
+    periods = f"{staging}-touched"
     try:
-        # One value per period of time in the batch, however many rows it has.
-        touched = [r[0] for r in new.select(partition).distinct().collect()]
-        if not touched:
+        new.select(partition).distinct().write.mode("overwrite").parquet(periods)
+        touched = spark.read.schema(new.select(partition).schema).parquet(periods)
+        if touched.isEmpty():
             return False
-        kept = existing.where(F.col(partition).isin(touched)).alias("t")
+        kept = rows_of_partitions(existing, touched, partition).alias("t")
         kept = kept.join(new.alias("s"), F.expr(same_key("t", "s", keys)), "left_anti")
         kept.unionByName(new).write.mode("overwrite").parquet(staging)
         return True
     finally:
         new.unpersist()
+        _drop_staging(spark, periods)
 
 
 def upsert_stream(
