@@ -20,10 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from oracle_queries import oracle_queries
 from routelens.operators import activity, alerts, errors, metrics, sessions
 from routelens.plans import reports, table_reports, views
-from routelens.schemas import SESSION_METRICS
 from routelens.session import SESSION_CONFS
 from routelens.sources import decode, fixture, replay
-from routelens.streaming import folding, job, sinks, tables
+from routelens.streaming import client_sessions, folding, job, sinks, tables
 from routelens.streaming.views import read_view, start_view
 
 try:  # the operators for training data may be left out of an installation
@@ -186,14 +185,17 @@ def _stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
+    database = _database(spark, folder)
+    tables.ensure_tables(spark, database, wanted=client_sessions.SESSION_TABLES)
 
     def start(logs: DataFrame) -> StreamingQuery:
-        found = sessions.session_metrics(job.with_event_time_limit(logs, WATERMARK), SESSION_GAP)
-        writer = found.writeStream.outputMode("append").format("parquet")
-        return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**ONCE).start(f"{folder}/sessions")
+        logs = job.with_event_time_limit(logs, WATERMARK)
+        visits, bounds = client_sessions.write_sessions(logs, SESSION_GAP, database, "parquet", f"{folder}/checkpoint", ONCE)
+        visits.awaitTermination()
+        return bounds
 
     _streamed(spark, sf_dir, folder, start)
-    return spark.read.schema(SESSION_METRICS).parquet(f"{folder}/sessions")
+    return client_sessions.read_sessions(spark, database, SESSION_GAP)
 
 
 def _result_tables(spark: SparkSession, sf_dir: str, *wanted: tables.ResultTable) -> str:

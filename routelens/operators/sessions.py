@@ -27,8 +27,8 @@ def session_metrics(logs: DataFrame, gap: timedelta) -> DataFrame:
     if gap <= timedelta(0):
         raise ValueError("the session gap must be positive")
     if logs.isStreaming:
-        return _finish(_stream_totals(logs, gap))
-    return _finish(_batch_totals(logs, gap))
+        return finish_sessions(_stream_totals(logs, gap))
+    return finish_sessions(_batch_totals(logs, gap))
 
 
 def _distinct_seen(streaming: bool, column: str) -> Column:
@@ -145,7 +145,7 @@ def _batch_totals(logs: DataFrame, gap: timedelta) -> DataFrame:
     )
 
 
-def _finish(totals: DataFrame) -> DataFrame:
+def finish_sessions(totals: DataFrame) -> DataFrame:
     requests = F.col("request_count")
     return totals.select(
         "client_ip",

@@ -7,6 +7,7 @@ number, which make a repeated batch replace itself and nothing else.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -53,9 +54,11 @@ def ensure_database(
     spark.catalog.setCurrentDatabase(database)
 
 
-def ensure_tables(spark: SparkSession, database: str, table_format: str = "parquet") -> None:
-    """Create whichever of the four tables is missing."""
-    for table in RESULT_TABLES:
+def ensure_tables(
+    spark: SparkSession, database: str, table_format: str = "parquet", wanted: Sequence[ResultTable] = RESULT_TABLES
+) -> None:
+    """Create whichever of the tables is missing."""
+    for table in wanted:
         columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields]
         columns.append(f"`{table.date_column}` date")
         if table.per_batch:
