@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from oracle_queries import oracle_queries
-from routelens.operators import activity, alerts, errors, metrics, sessions
+from routelens.operators import activity, alerts, errors, metrics, sessions, sketches
 from routelens.plans import reports, table_reports, views
 from routelens.session import SESSION_CONFS
 from routelens.sources import decode, fixture, replay
@@ -34,6 +34,8 @@ except ImportError:
 SESSION_GAP = timedelta(seconds=20)
 ONCE = {"availableNow": True}
 WATERMARK = "5 seconds"
+#: Share of a window's requests by which the rank of a sketch's percentile may be off.
+RANK_ERROR = 0.02
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +140,25 @@ def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).drop("period")
 
 
+def _from_sketches(*span: str) -> Query:
+    """Metrics of longer windows from a table of minute rows, and whether each percentile's rank is within the bound."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = tables.ROUTE_SKETCHES_1M
+        database = _database(spark, _scratch(spark))
+        tables.ensure_tables(spark, database, wanted=[table])
+        logs = _logs(spark, sf_dir).drop("event_id")
+        sinks.append_batch(sketches.minute_sketches(logs), database, table, 0, "q")
+        found = sketches.metrics_from_sketches(tables.read_table(spark, database, table), span)
+        found = sketches.rank_errors(found, logs, span)
+        names = [f"p{level}" for level in (50, 95, 99)]
+        within = [(F.col(f"{n}_rank_error") <= RANK_ERROR).alias(f"{n}_within_bound") for n in names]
+        exact = [c for c in found.columns if not c.startswith(tuple(names))]
+        return found.select(*exact, *within)
+
+    return run
+
+
 def _minute_tables(spark: SparkSession, sf_dir: str) -> str:
     folder = _scratch(spark)
     database = _database(spark, folder)
@@ -295,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "replay_from_time": lambda spark, sf_dir: replay.replay_from_time(
         decode.decode_messages(fixture.messages(spark, sf_dir)), F.lit("2024-01-01 00:20:00").cast("timestamp")
     ),
+    "sketch_route_metrics_5m": _from_sketches("5 minutes", "1 minute"),
+    "sketch_route_metrics_1h": _from_sketches("1 hour"),
     "upsert_route_metrics": _upserted,
     "folded_route_metrics_1m": _folded_metrics_1m,
     "table_route_rate_last_hour": _table_report(

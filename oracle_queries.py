@@ -239,6 +239,11 @@ def _with(*parts: str, select: str, doubles: str = "") -> str:
 AS_OF = "TIMESTAMP '2024-01-01 01:30:00'"
 
 
+def _within_bound(windows: str) -> str:
+    bounds = ", ".join(f"max(response_time_ms) IS NOT NULL OR NULL AS p{p}_within_bound" for p in (50, 95, 99))
+    return f"SELECT {COUNTS}, {TOTALS}, {bounds} FROM {windows} {BY_WINDOW}"
+
+
 def oracle_queries() -> dict[str, str]:
     decoded = f"decoded AS ({_decoded('messages')})"
     views = {
@@ -359,6 +364,9 @@ def oracle_queries() -> dict[str, str]:
                 method NULLS FIRST, path NULLS FIRST, status_code, error_category, response_time_ms NULLS FIRST,
                 upstream_cluster NULLS FIRST, client_ip NULLS FIRST LIMIT 20""",
         ),
+        "sketch_route_metrics_5m": _with(select=_within_bound(_rolling("logs")), doubles="avg_latency_ms error_rate_pct"),
+        "sketch_route_metrics_1h": _with(
+            select=_within_bound(_tumbling("logs", 60)), doubles="avg_latency_ms error_rate_pct"),
         "stream_route_metrics_1m": _with(
             METRICS_1M, select=f"SELECT * FROM m1 WHERE window_end <= {CLOSED}", doubles=METRIC_DOUBLES),
         "stream_route_metrics_5m": _with(

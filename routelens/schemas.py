@@ -12,6 +12,9 @@ _TYPES = {
     "DOUBLE": T.DoubleType(),
     "TIMESTAMP": T.TimestampType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "BINARY": T.BinaryType(),
+    # Sums of bytes before their last cast.
+    "WIDE": T.DecimalType(38, 0),
 }
 
 
@@ -51,6 +54,13 @@ ROUTE_METRICS = struct(
     "p99_latency_ms DOUBLE, error_rate_pct DOUBLE, processing_time TIMESTAMP"
 )
 
+ROUTE_SKETCHES = struct(
+    "http_route STRING, window_start TIMESTAMP, window_end TIMESTAMP, request_count BIGINT, "
+    "success_count BIGINT, client_error_count BIGINT, server_error_count BIGINT, "
+    "total_bytes_sent WIDE, total_bytes_received WIDE, min_latency_ms BIGINT, max_latency_ms BIGINT, "
+    "latency_total DOUBLE, timed BIGINT, latency_sketch BINARY"
+)
+
 ERROR_EVENTS = struct(
     "event_time TIMESTAMP, http_route STRING, hostname STRING, method STRING, path STRING, "
     "status_code INT, error_category STRING, response_time_ms BIGINT, upstream_cluster STRING, "

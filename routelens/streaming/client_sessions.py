@@ -21,7 +21,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from routelens.functions.status import is_error, wide_sum
@@ -41,8 +40,8 @@ VISITS = ResultTable(
     "session_visits",
     struct(
         "client_ip STRING, path STRING, http_route STRING, first_seen TIMESTAMP, requests BIGINT, "
-        "errors BIGINT, response_time DOUBLE"
-    ).add("bytes", T.DecimalType(38, 0)),
+        "errors BIGINT, response_time DOUBLE, bytes WIDE"
+    ),
     "first_seen",
     "visit_date",
     False,

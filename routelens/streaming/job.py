@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from routelens.operators.alerts import latency_alerts
 from routelens.operators.errors import error_events
 from routelens.operators.metrics import route_metrics_1m, route_metrics_5m
+from routelens.operators.sketches import minute_sketches
 from routelens.options import JobOptions
 from routelens.session import build_session
 from routelens.sources.reader import read_access_logs_stream
@@ -34,6 +35,7 @@ from routelens.streaming.tables import (
     RESULT_TABLES,
     ROUTE_METRICS_1M,
     ROUTE_METRICS_5M,
+    ROUTE_SKETCHES_1M,
     ensure_database,
     ensure_tables,
 )
@@ -86,6 +88,17 @@ def write_rolling_metrics(
     return _write_batches(route_metrics_5m(logs), ROUTE_METRICS_5M.name, write, checkpoint, trigger)
 
 
+def write_minute_sketches(
+    logs: DataFrame, database: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """Minute rows with a latency sketch to their table, from which ``metrics_from_sketches`` gives longer windows."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, database, ROUTE_SKETCHES_1M, batch_id, query_of(batch.sparkSession, checkpoint))
+
+    return _write_batches(minute_sketches(logs), ROUTE_SKETCHES_1M.name, write, checkpoint, trigger)
+
+
 def _write_batches(
     frame: DataFrame,
     name: str,
