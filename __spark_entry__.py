@@ -21,7 +21,7 @@ from oracle_queries import oracle_queries
 from routelens.operators import activity, alerts, errors, metrics, sessions, sketches
 from routelens.plans import reports, table_reports, views
 from routelens.session import SESSION_CONFS
-from routelens.sources import decode, fixture, replay
+from routelens.sources import decode, fixture, reader, replay
 from routelens.streaming import client_sessions, folding, job, sinks, tables
 from routelens.streaming.views import read_view, start_view
 
@@ -177,6 +177,24 @@ def _stream_metrics_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, database, tables.ROUTE_METRICS_1M).drop("processing_time")
 
 
+def _stream_landed_metrics_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute metrics from payloads that one stream decodes into the landing table and another one reads, in two runs."""
+    folder = _scratch(spark)
+    database = _database(spark, folder)
+    tables.ensure_tables(spark, database)
+    tables.ensure_tables(spark, database, wanted=[tables.ACCESS_LOGS])
+    events = fixture.read_events(spark, sf_dir)
+    first = F.coalesce(fixture.first_half(events), F.lit(True))
+    for part in (first, ~first):
+        payloads = fixture.logs_to_messages(fixture.events_to_logs(events.where(part), False))
+        payloads.select("value").write.mode("append").text(f"{folder}/payloads")
+        logs = reader.read_access_logs_stream(spark, "text", f"{folder}/payloads")
+        job.write_landing(logs, database, "parquet", f"{folder}/landing", ONCE).awaitTermination()
+        landed = job.with_event_time_limit(job.landed_logs(spark, database), WATERMARK)
+        job.write_minute_metrics_and_alerts(landed, database, 500, f"{folder}/checkpoint", ONCE).awaitTermination()
+    return tables.read_table(spark, database, tables.ROUTE_METRICS_1M).drop("processing_time")
+
+
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _minute_tables(spark, sf_dir)
     return tables.read_table(spark, database, tables.LATENCY_ALERTS_TABLE).drop("alert_time")
@@ -345,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "stream_route_metrics_5m": _stream_metrics_5m,
     "stream_error_events": _stream_errors,
     "stream_latency_alerts": _stream_alerts,
+    "stream_landed_route_metrics_1m": _stream_landed_metrics_1m,
     "stream_session_metrics": _stream_sessions,
     "stream_hostname_traffic": _stream_view("hostname_traffic"),
     "stream_client_activity": _stream_view("client_activity"),

@@ -369,6 +369,8 @@ def oracle_queries() -> dict[str, str]:
             select=_within_bound(_tumbling("logs", 60)), doubles="avg_latency_ms error_rate_pct"),
         "stream_route_metrics_1m": _with(
             METRICS_1M, select=f"SELECT * FROM m1 WHERE window_end <= {CLOSED}", doubles=METRIC_DOUBLES),
+        "stream_landed_route_metrics_1m": _with(
+            METRICS_1M, select=f"SELECT * FROM m1 WHERE window_end <= {CLOSED}", doubles=METRIC_DOUBLES),
         "stream_route_metrics_5m": _with(
             METRICS_5M, select=f"SELECT * FROM m5 WHERE window_end <= {CLOSED}", doubles=METRIC_DOUBLES),
         "stream_error_events": _with(select=ERROR_EVENTS),

@@ -87,6 +87,7 @@ class JobOptions:
     checkpoint_dir: str | None = None
     catalog: str | None = None
     fold_closed_days: bool = False
+    landing: bool = False
     confs: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -116,6 +117,7 @@ class JobOptions:
             checkpoint_dir=given.get("checkpoint.dir"),
             catalog=given.get("catalog.name"),
             fold_closed_days=given.get("fold.closed.days", "false").lower() == "true",
+            landing=given.get("landing", "false").lower() == "true",
             confs=confs,
         )
 

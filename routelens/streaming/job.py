@@ -5,6 +5,8 @@
 - rolling five-minute metrics;
 - error events, stateless.
 
+With ``landing`` one more query decodes the source into a table, and the three read that table.
+
 Each query has its own checkpoint and restarts from it. The tables are not committed
 together: after a failure one may be a batch ahead of another until the query catches up.
 """
@@ -12,7 +14,7 @@ together: after a failure one may be a batch ahead of another until the query ca
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,7 @@ from routelens.streaming.folding import drop_folded, fold_closed_days
 from routelens.streaming.late_rows import LateRowLog
 from routelens.streaming.sinks import Trigger, append_batch, append_stream, query_of
 from routelens.streaming.tables import (
+    ACCESS_LOGS,
     ERROR_EVENTS_TABLE,
     LATENCY_ALERTS_TABLE,
     RESULT_TABLES,
@@ -119,6 +122,22 @@ def write_error_events(
     return append_stream(events, database, ERROR_EVENTS_TABLE, table_format, checkpoint, trigger)
 
 
+def write_landing(
+    logs: DataFrame, database: str, table_format: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """Decoded logs to a table of their own. Every payload is parsed here and nowhere else."""
+    return append_stream(logs, database, ACCESS_LOGS, table_format, checkpoint, trigger)
+
+
+def landed_logs(spark: SparkSession, database: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The landing table as a stream. Only files of committed micro-batches are read, each once.
+
+    A time that was missing in the payload is the time of landing, the same in every stream.
+    """
+    landed = spark.readStream.options(**(options or {})).table(f"`{database}`.`{ACCESS_LOGS.name}`")
+    return landed.select(*ACCESS_LOGS.schema.fieldNames())
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows behind the watermark so far, as far back as progress is kept; ``late_rows`` has the counts of all runs.
 
@@ -137,6 +156,10 @@ def fold_past_days(spark: SparkSession, database: str) -> None:
     drop_folded(spark, database, RESULT_TABLES)
 
 
+def _trigger(options: JobOptions) -> Trigger:
+    return {"availableNow": True} if options.available_now else {"processingTime": options.trigger_interval}
+
+
 def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) -> list[StreamingQuery]:
     """Create what is missing and start the three queries on a stream of access logs."""
     root = checkpoint_root(spark, options.checkpoint_dir)
@@ -144,9 +167,7 @@ def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) ->
     ensure_tables(spark, options.database, options.table_format)
     if options.fold_closed_days:
         fold_past_days(spark, options.database)
-    trigger: Trigger = (
-        {"availableNow": True} if options.available_now else {"processingTime": options.trigger_interval}
-    )
+    trigger = _trigger(options)
     timed = with_event_time_limit(logs, options.watermark)
     db, fmt = options.database, options.table_format
     return [
@@ -159,11 +180,23 @@ def start_queries(spark: SparkSession, logs: DataFrame, options: JobOptions) ->
 
 
 def start_job(spark: SparkSession, options: JobOptions) -> list[StreamingQuery]:
-    """Start the job on its configured source."""
+    """Start the job on its configured source.
+
+    With ``landing`` a first stream decodes the source into a table and the others read that. A run that ends with its
+    input waits for the landing before it starts them, so that they see all of it.
+    """
     logs = read_access_logs_stream(
         spark, options.source_format, options.source_path, options.start_options()
     )
-    return start_queries(spark, logs, options)
+    if not options.landing:
+        return start_queries(spark, logs, options)
+    ensure_database(spark, options.database, options.catalog)
+    ensure_tables(spark, options.database, options.table_format, [ACCESS_LOGS])
+    checkpoint = f"{checkpoint_root(spark, options.checkpoint_dir)}/{ACCESS_LOGS.name}"
+    landing = write_landing(logs, options.database, options.table_format, checkpoint, _trigger(options))
+    if options.available_now:
+        landing.awaitTermination()
+    return [landing, *start_queries(spark, landed_logs(spark, options.database), options)]
 
 
 def run_job(args: Sequence[str] | None = None) -> None:

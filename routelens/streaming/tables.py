@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from routelens.schemas import ERROR_EVENTS, LATENCY_ALERTS, ROUTE_METRICS, ROUTE_SKETCHES
+from routelens.schemas import ACCESS_LOG, ERROR_EVENTS, LATENCY_ALERTS, ROUTE_METRICS, ROUTE_SKETCHES
 from routelens.streaming.folding import current_rows
 
 
@@ -42,6 +42,8 @@ ERROR_EVENTS_TABLE = ResultTable("error_events", ERROR_EVENTS, "event_time", "ev
 LATENCY_ALERTS_TABLE = ResultTable("latency_alerts", LATENCY_ALERTS, "window_start", "window_date", True)
 #: Minute rows whose latencies are a sketch; windows of any length are read from them.
 ROUTE_SKETCHES_1M = ResultTable("route_sketches_1m", ROUTE_SKETCHES, "window_start", "window_date", True)
+#: Decoded input, written once for all streams that read it.
+ACCESS_LOGS = ResultTable("access_logs", ACCESS_LOG, "event_time", "event_date", False)
 RESULT_TABLES = (ROUTE_METRICS_1M, ROUTE_METRICS_5M, ERROR_EVENTS_TABLE, LATENCY_ALERTS_TABLE)
 
 
