@@ -16,6 +16,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,22 @@ def with_event_time_limit(logs: DataFrame, delay: str) -> DataFrame:
     return logs.withWatermark("event_time", delay)
 
 
+def with_event_time_limits(streams: Sequence[DataFrame], delay: str, wait_for_idle: bool) -> DataFrame:
+    """Streams of several sources as one, with the limit to wait for the slowest source or not.
+
+    With ``wait_for_idle`` each source has a limit of its own and the least one counts (the engine's default policy): no
+    row of a slow source is late, but a source that has sent nothing keeps all windows open. Otherwise the
+    newest event of any source sets the limit: an idle source holds nothing up, and a slow one may be late.
+    """
+    if wait_for_idle:
+        return _union([with_event_time_limit(stream, delay) for stream in streams])
+    return with_event_time_limit(_union(streams), delay)
+
+
+def _union(streams: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, streams)
+
+
 def _stamped(frame: DataFrame, column: str) -> DataFrame:
     return frame.withColumn(column, F.current_timestamp())
 
